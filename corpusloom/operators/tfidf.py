@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.counts import term_counts, vocabulary
-from corpusloom.plans.lineage import materialize
+from corpusloom.plans.lineage import lookup_side, materialize
 from corpusloom.plans.ranking import ordered_index
 
 MAX_SORTED_FEATURES = 1_000_000  # capped vocabularies up to this size are numbered in one task
@@ -63,7 +63,7 @@ def transform(docs: DataFrame, model: Tfidf) -> DataFrame:
     tf = F.log("cnt") + 1.0 if model.sublinear else F.col("cnt").cast("double")
     weighed = (
         term_counts(docs.select("doc_id", "tokens"), model.low, model.high)
-        .join(model.vocab.select("term", "idx", "idf"), "term")
+        .join(lookup_side(model.vocab.select("term", "idx", "idf"), row_bytes=112), "term")
         .select("doc_id", F.struct("term", "idx", (tf * F.col("idf")).alias("value")).alias("e"))
     )
     if not model.l2:

@@ -53,6 +53,19 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list[Row]:
     return rows
 
 
+BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def lookup_side(table: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a stored lookup table for broadcast if its counted size allows it.
+
+    Broadcasting keeps the rows of a document together, so what is summed per document
+    afterwards is combined before it is shuffled. A larger table is joined by shuffle,
+    where adaptive execution splits skewed keys.
+    """
+    return F.broadcast(table) if table.count() * row_bytes <= max_bytes else table
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash the rows over the cores by ``key`` if the scan has fewer splits than cores.
 
