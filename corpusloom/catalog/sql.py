@@ -167,7 +167,7 @@ def tfidf(low: int, high: int, min_df: int, cap: int) -> tuple[str, ...]:
 WEIGHT = "(('0x' || substr(md5(category || ':' || term), 1, 8))::BIGINT::DOUBLE / 4294967296.0 - 0.5)"
 
 HASH_SCORES = (
-    f"langs AS (SELECT column0 AS category, row_number() OVER (ORDER BY column0) - 1 AS i FROM (VALUES {LANG_VALUES}))",
+    f"langs AS (SELECT category, row_number() OVER (ORDER BY category) - 1 AS i FROM (VALUES {LANG_VALUES}) v(category))",
     f"wts AS MATERIALIZED (SELECT category, term, idx, {WEIGHT} AS weight FROM fitted CROSS JOIN langs)",
     "zs AS (SELECT doc_id, category, sum(value * weight) AS z FROM feats JOIN wts USING (term) GROUP BY ALL)",
     "sig AS MATERIALIZED (SELECT d.doc_id, l.category, 1 / (1 + exp(-(coalesce(z, 0) - 0.5::DOUBLE + 0.1::DOUBLE * i))) AS s "
@@ -188,7 +188,7 @@ def noisy(salt: str, name: str = "pairs") -> str:
 
 
 METRICS = (
-    f"langs AS (SELECT column0 AS category FROM (VALUES {LANG_VALUES}))",
+    f"langs AS (SELECT category FROM (VALUES {LANG_VALUES}) v(category))",
     "pc AS (SELECT category, count(*) FILTER (WHERE actual = category AND predicted = category)::DOUBLE AS tp, "
     "count(*) FILTER (WHERE predicted = category)::DOUBLE AS said, count(*) FILTER (WHERE actual = category) AS support "
     "FROM pairs CROSS JOIN langs GROUP BY 1)",

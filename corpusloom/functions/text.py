@@ -163,13 +163,19 @@ def ngram_range(tokens: Column, low: int = 1, high: int = 1, separator: str = "_
     return per_n[0] if len(per_n) == 1 else F.concat(*per_n)
 
 
+def context_key(context: Column) -> Column:
+    """A context as one string, words separated by a blank; tokens never contain blanks."""
+    return F.array_join(context, " ")
+
+
 def next_word_windows(tokens: Column, n: int) -> Column:
     """One (context, word) struct per predicted position of the padded sentence."""
-    padded = pad_tokens(tokens, n)
-    windows = extract_ngrams(padded, n)
+    windows = extract_ngrams(pad_tokens(tokens, n), n)
     return F.transform(
         windows,
-        lambda g: F.struct(F.slice(g, 1, n - 1).alias("context"), F.element_at(g, n).alias("word")),
+        lambda g: F.struct(
+            context_key(F.slice(g, 1, n - 1)).alias("context"), F.element_at(g, n).alias("word")
+        ),
     )
 
 

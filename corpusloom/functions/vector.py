@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import let
+
 NEG_INF = float("-inf")
 POS_INF = float("inf")
 
@@ -42,30 +44,46 @@ def cosine_similarity(a: Column, b: Column) -> Column:
     return F.when(lengths == 0, F.lit(0.0)).otherwise(dot(a, b) / F.nullif(lengths, F.lit(0.0)))
 
 
-def normalize_sum(values: list[Column]) -> list[Column]:
-    """Each value divided by the sum of all; a zero sum divides by one."""
-    total = sum(values[1:], values[0])
-    total = F.when(total == 0, F.lit(1.0)).otherwise(total)
-    return [v / total for v in values]
+def total(values: Column) -> Column:
+    """Sum of an array."""
+    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def normalize_sum(values: Column) -> Column:
+    """Each element of an array divided by the sum of all; a zero sum divides by one."""
+
+    def divided(v: Column) -> Column:
+        return let(
+            F.when(total(v) == 0, F.lit(1.0)).otherwise(total(v)),
+            lambda by: F.transform(v, lambda x: x / by),
+        )
+
+    return let(values, divided)
+
+
+def logsumexp(values: Column) -> Column:
+    """ln of the sum of exponentials of an array, computed about its maximum."""
+
+    def about_top(v: Column) -> Column:
+        top = F.array_max(v)
+        pivot = F.when(top == F.lit(NEG_INF), F.lit(0.0)).otherwise(top)
+        return let(pivot, lambda m: m + safe_log(total(F.transform(v, lambda x: F.exp(x - m)))))
+
+    return let(values, about_top)
 
 
-def logsumexp(values: list[Column]) -> Column:
-    """ln of the sum of exponentials, computed about the maximum."""
-    top = F.greatest(*values) if len(values) > 1 else values[0]
-    pivot = F.when(top == F.lit(NEG_INF), F.lit(0.0)).otherwise(top)
-    terms = [F.exp(v - pivot) for v in values]
-    return pivot + safe_log(sum(terms[1:], terms[0]))
+def softmax(scores: Column) -> Column:
+    """Probabilities from an array of unnormalised log scores."""
 
+    def shifted(s: Column) -> Column:
+        return let(F.array_max(s), lambda m: F.transform(s, lambda x: F.exp(x - m)))
 
-def softmax(values: list[Column]) -> list[Column]:
-    """Probabilities from unnormalised log scores."""
-    top = F.greatest(*values) if len(values) > 1 else values[0]
-    terms = [F.exp(v - top) for v in values]
-    total = sum(terms[1:], terms[0])
-    return [t / total for t in terms]
+    return let(let(scores, shifted), lambda e: let(total(e), lambda t: F.transform(e, lambda x: x / t)))
 
 
-def first_max(names: list[str], values: list[Column]) -> Column:
-    """Name of the largest value; ties go to the name listed first."""
-    top = F.greatest(*values) if len(values) > 1 else values[0]
-    return F.coalesce(*[F.when(v == top, F.lit(n)) for n, v in zip(names, values, strict=True)])
+def first_max(names: list[str], scores: Column) -> Column:
+    """Name of the largest element; ties go to the name listed first."""
+    labels = F.array(*[F.lit(n) for n in names])
+    return let(
+        scores, lambda s: F.element_at(labels, F.array_position(s, F.array_max(s)).cast("int"))
+    )

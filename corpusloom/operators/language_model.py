@@ -14,7 +14,10 @@ from corpusloom.plans.lineage import bounded_rows, materialize
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``ngrams(context, word, cnt)``, ``contexts(context, cnt)`` and ``vocab(word)``."""
+    """``ngrams(context, word, cnt)``, ``contexts(context, cnt)`` and ``vocab(word)``.
+
+    A context is one string, its n-1 words separated by blanks.
+    """
 
     n: int
     ngrams: DataFrame
@@ -31,15 +34,6 @@ class LanguageModel:
         """One-row table with the number of predictions counted."""
         return self.contexts.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("total_tokens"))
 
-    def stored(self) -> LanguageModel:
-        """The same model with its tables written out."""
-        return LanguageModel(
-            self.n,
-            materialize(self.ngrams, "lm-ngrams"),
-            materialize(self.contexts, "lm-contexts"),
-            materialize(self.vocab, "lm-vocab"),
-        )
-
 
 def count_orders(docs: DataFrame, orders: list[int]) -> DataFrame:
     """``(n, context, word, cnt)`` for several orders in one pass over the tokens."""
@@ -47,7 +41,9 @@ def count_orders(docs: DataFrame, orders: list[int]) -> DataFrame:
     parts = [
         F.transform(
             T.next_word_windows(F.col("tokens"), n),
-            lambda w, n=n: F.struct(F.lit(n).alias("n"), w["context"].alias("context"), w["word"].alias("word")),
+            lambda w, n=n: F.struct(
+                F.lit(n).alias("n"), w["context"].alias("context"), w["word"].alias("word")
+            ),
         )
         for n in orders
     ]
@@ -62,7 +58,7 @@ def count_orders(docs: DataFrame, orders: list[int]) -> DataFrame:
 
 def vocab_of(ngrams: DataFrame) -> DataFrame:
     """Distinct words of an n-gram table, boundary marks included."""
-    words = F.array_distinct(F.concat("context", F.array("word")))
+    words = F.filter(F.array_append(F.split("context", " "), F.col("word")), lambda w: w != "")
     return ngrams.select(F.explode(words).alias("word")).distinct()
 
 
@@ -73,8 +69,8 @@ def model_of(ngrams: DataFrame, n: int) -> LanguageModel:
 
 
 def train(docs: DataFrame, n: int = 2) -> LanguageModel:
-    """Count the n-grams of all padded, non-empty token sequences."""
-    return model_of(count_orders(docs, [n]).drop("n"), n)
+    """Count the n-grams of all padded, non-empty token sequences; the counts are stored."""
+    return model_of(materialize(count_orders(docs, [n]).drop("n"), "lm-ngrams"), n)
 
 
 def train_orders(docs: DataFrame, orders: list[int]) -> dict[int, LanguageModel]:
