@@ -37,19 +37,17 @@ class LanguageModel:
 
 def count_orders(docs: DataFrame, orders: list[int]) -> DataFrame:
     """``(n, context, word, cnt)`` for several orders in one pass over the tokens."""
-    said = docs.where(F.size("tokens") > 0)
-    parts = [
-        F.transform(
-            T.next_word_windows(F.col("tokens"), n),
-            lambda w, n=n: F.struct(
-                F.lit(n).alias("n"), w["context"].alias("context"), w["word"].alias("word")
-            ),
-        )
-        for n in orders
-    ]
+
+    def numbered(n: int):
+        tag = lambda w: F.struct(F.lit(n).alias("n"), w["context"].alias("context"), w["word"].alias("word"))
+        return F.transform(T.next_word_windows(F.col("tokens"), n), tag)
+
+    parts = [numbered(n) for n in orders]
     each = parts[0] if len(parts) == 1 else F.concat(*parts)
+    # A condition, not a filter: a filter would be pushed below a repartitioning and
+    # tokenise the texts twice.
     return (
-        said.select(F.explode(each).alias("w"))
+        docs.select(F.explode(F.when(F.size("tokens") > 0, each)).alias("w"))
         .select("w.*")
         .groupBy("n", "context", "word")
         .agg(F.count("*").alias("cnt"))
