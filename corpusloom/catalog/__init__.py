@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusloom.catalog import model_queries, text_queries
+from corpusloom.catalog import job_queries, linear_queries, model_queries, text_queries, vector_queries
 
-PARTS = (text_queries, model_queries)
+PARTS = (text_queries, model_queries, vector_queries, linear_queries, job_queries)
 
 
 def queries() -> dict:

@@ -40,13 +40,15 @@ def vector_subset(vectors: DataFrame, vocab: DataFrame) -> DataFrame:
 def similarities(vectors: DataFrame, word: str) -> DataFrame:
     """Cosine of every other vector with that of ``word``.
 
-    Empty if the word is unknown or its vector is zero. The query vector enters the
-    plan as a scalar subquery: one scan, no join, no shuffle.
+    Empty if the word is unknown or its vector is zero. Only the query vector passes
+    through the driver; the table is scanned once, without a join or a shuffle.
     """
     check_vectors(vectors)
-    query = vectors.where(F.col("word") == word).agg(F.first("vec")).scalar()
-    length = vectors.where(F.col("word") == word).agg(V.norm(F.first("vec"))).scalar()
-    return vectors.where((F.col("word") != word) & (length > 0)).select(
+    found = vectors.where(F.col("word") == word).select("vec").first()
+    if found is None or not any(found["vec"]):
+        return vectors.limit(0).select("word", F.lit(0.0).alias("similarity"))
+    query = F.lit([float(x) for x in found["vec"]])
+    return vectors.where(F.col("word") != word).select(
         "word", V.cosine_similarity(F.col("vec"), query).alias("similarity")
     )
 
