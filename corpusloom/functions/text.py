@@ -5,7 +5,6 @@ All of them stay inside the JVM and work on one row, so none needs a shuffle.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
@@ -88,19 +87,14 @@ def remove_stopwords(tokens: Column, stop_words: Iterable[str] | None = None) ->
 def map_tokens(tokens: Column, mapping: Mapping[str, str]) -> Column:
     """Replace tokens found in a small driver-side mapping.
 
-    Map lookup in Spark scans the map, so the literal is cut into many little maps
-    addressed by a checksum. Use ``lemmatize_tokens`` for a mapping held in a table.
+    Membership is tested by hash; only the tokens to replace pay for the map lookup,
+    which scans the map. Use ``lemmatize_tokens`` for a mapping held in a table.
     """
     if not mapping:
         return tokens
-    n = max(1, 2 * len(mapping))
-    cells: list[list[Column]] = [[] for _ in range(n)]
-    for token, lemma in mapping.items():
-        cells[zlib.crc32(token.encode()) % n] += [F.lit(token), F.lit(lemma)]
-    empty = F.create_map(F.lit(""), F.lit(""))
-    table = F.array(*[F.create_map(*c) if c else empty for c in cells])
-    cell = lambda t: F.element_at(table, (F.crc32(F.encode(t, "utf-8")) % n + 1).cast("int"))
-    return F.transform(tokens, lambda t: F.coalesce(F.element_at(cell(t), t), t))
+    keys = list(mapping)
+    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    return F.transform(tokens, lambda t: F.when(t.isin(keys), F.element_at(table, t)).otherwise(t))
 
 
 def text_preview(text: Column, words: int = 50) -> Column:
@@ -150,16 +144,32 @@ def extract_ngrams(tokens: Column, n: int) -> Column:
     return let(tokens, slices)
 
 
+def _starts(size: Column, n: int) -> Column:
+    """0-based start positions of all n-token windows; null if there are none."""
+    return F.when(size >= n, F.sequence(F.lit(0), size - n))
+
+
 def ngram_range(tokens: Column, low: int = 1, high: int = 1, separator: str = "_") -> Column:
     """All n-grams for n from low to high, each joined to one string."""
     if low < 1 or high < low:
         raise ValueError(f"invalid n-gram range ({low}, {high})")
-    per_n = [
-        tokens
-        if n == 1
-        else F.transform(extract_ngrams(tokens, n), lambda g: F.array_join(g, separator))
-        for n in range(low, high + 1)
-    ]
+    none = F.array().cast("array<string>")
+
+    def joined(n: int) -> Column:
+        if n == 1:
+            return tokens
+        return let(
+            tokens,
+            lambda t: F.coalesce(
+                F.transform(
+                    _starts(F.size(t), n),
+                    lambda i: F.concat_ws(separator, *[F.get(t, i + k) for k in range(n)]),
+                ),
+                none,
+            ),
+        )
+
+    per_n = [joined(n) for n in range(low, high + 1)]
     return per_n[0] if len(per_n) == 1 else F.concat(*per_n)
 
 
@@ -170,11 +180,14 @@ def context_key(context: Column) -> Column:
 
 def next_word_windows(tokens: Column, n: int) -> Column:
     """One (context, word) struct per predicted position of the padded sentence."""
-    windows = extract_ngrams(pad_tokens(tokens, n), n)
-    return F.transform(
-        windows,
-        lambda g: F.struct(
-            context_key(F.slice(g, 1, n - 1)).alias("context"), F.element_at(g, n).alias("word")
+    return let(
+        pad_tokens(tokens, n),
+        lambda p: F.transform(
+            _starts(F.size(p), n),
+            lambda i: F.struct(
+                F.concat_ws(" ", *[F.get(p, i + k) for k in range(n - 1)]).alias("context"),
+                F.get(p, i + (n - 1)).alias("word"),
+            ),
         ),
     )
 
@@ -221,4 +234,4 @@ def term_histogram(terms: Column) -> Column:
             ),
         )
 
-    return let(let(F.array_sort(terms), run_starts), runs)
+    return let(let(F.sort_array(terms), run_starts), runs)
