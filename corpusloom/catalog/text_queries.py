@@ -167,7 +167,7 @@ def text_preview(spark, sf):
 
 def _status(spark, sf):
     corpus_tokens = materialize(I.tokens(spark, sf), "tokens")
-    frequent = counts.vocabulary(corpus_tokens).where(F.col("cnt") >= 5).select("term")
+    frequent = counts.term_totals(corpus_tokens).where(F.col("cnt") >= 5).select("term")
     held = counts.vocab_union(I.benchmark_tokens(spark, sf))
     return preprocess.input_status(I.documents(spark, sf), [frequent, held], config=preprocess.TextConfig())
 

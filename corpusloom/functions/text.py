@@ -194,17 +194,20 @@ def next_word_windows(tokens: Column, n: int) -> Column:
 
 def skipgram_pairs(tokens: Column, window: int) -> Column:
     """One (center, context) struct per ordered pair of tokens at most ``window`` apart."""
+    if window < 1:
+        raise ValueError(f"window must be at least 1, got {window}")
 
     def pairs(bound: Column) -> Column:
-        def around(center: Column, i: Column) -> Column:
-            before = F.slice(bound, F.greatest(i - window, F.lit(0)) + 1, F.least(i, F.lit(window)))
-            after = F.slice(bound, i + 2, F.lit(window))
-            return F.transform(
-                F.concat(before, after),
-                lambda c: F.struct(center.alias("center"), c.alias("context")),
-            )
+        def apart(distance: int, forward: bool) -> Column:
+            def pair(i: Column) -> Column:
+                near, far = F.get(bound, i), F.get(bound, i + distance)
+                center, context = (near, far) if forward else (far, near)
+                return F.struct(center.alias("center"), context.alias("context"))
 
-        return F.flatten(F.transform(bound, around))
+            none = F.array().cast("array<struct<center:string,context:string>>")
+            return F.coalesce(F.transform(_starts(F.size(bound), distance + 1), pair), none)
+
+        return F.concat(*[apart(d, forward) for d in range(1, window + 1) for forward in (True, False)])
 
     return let(tokens, pairs)
 
@@ -215,23 +218,20 @@ def term_histogram(terms: Column) -> Column:
     Sorts the array and measures the runs of equal terms.
     """
 
-    def run_starts(ordered: Column) -> Column:
-        marked = F.transform(
-            ordered,
-            lambda t, i: F.when(
-                (i == 0) | (t != F.get(ordered, i - 1)), F.struct(t.alias("term"), i.alias("at"))
-            ),
+    def counted(ordered: Column) -> Column:
+        first = F.filter(
+            _starts(F.size(ordered), 1),
+            lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)),
         )
-        end = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.size(ordered).alias("at")))
-        return F.concat(F.filter(marked, lambda e: e.isNotNull()), end)
-
-    def runs(starts: Column) -> Column:
-        return F.transform(
-            F.slice(starts, 1, F.size(starts) - 1),
-            lambda e, k: F.struct(
-                e["term"].alias("term"),
-                (F.get(starts, k + 1)["at"] - e["at"]).cast("bigint").alias("cnt"),
+        return let(
+            first,
+            lambda starts: F.transform(
+                starts,
+                lambda i, k: F.struct(
+                    F.get(ordered, i).alias("term"),
+                    (F.coalesce(F.get(starts, k + 1), F.size(ordered)) - i).cast("bigint").alias("cnt"),
+                ),
             ),
         )
 
-    return let(let(F.sort_array(terms), run_starts), runs)
+    return let(F.sort_array(terms), counted)

@@ -22,12 +22,14 @@ def term_counts(docs: DataFrame, low: int = 1, high: int = 1, keep_empty: bool =
 
 
 def vocabulary(docs: DataFrame, low: int = 1, high: int = 1) -> DataFrame:
-    """Distinct terms with document frequency and total count."""
-    return (
-        term_counts(docs.select("tokens"), low, high)
-        .groupBy("term")
-        .agg(F.count("*").alias("df"), F.sum("cnt").alias("cnt"))
-    )
+    """Distinct terms with document frequency."""
+    terms = F.array_distinct(T.ngram_range(F.col("tokens"), low, high))
+    return docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+
+
+def term_totals(docs: DataFrame) -> DataFrame:
+    """Distinct tokens with their number of occurrences."""
+    return docs.select(F.explode("tokens").alias("term")).groupBy("term").agg(F.count("*").alias("cnt"))
 
 
 def bow_fit(docs: DataFrame) -> DataFrame:
@@ -46,7 +48,7 @@ def frequency_vocab(docs: DataFrame, min_count: int = 5) -> DataFrame:
 
     If no term is that frequent, all terms are kept.
     """
-    counts = vocabulary(docs).select("term", "cnt")
+    counts = term_totals(docs)
     top = counts.agg(F.max("cnt").alias("m")).scalar()
     kept = counts.where((F.col("cnt") >= min_count) | (top < min_count))
     return ordered_index(kept, [F.col("cnt").desc(), F.col("term")])
@@ -73,7 +75,7 @@ def active_terms(docs: DataFrame, vocab: DataFrame, low: int = 1, high: int = 1)
 
 def document_frequency(docs: DataFrame) -> DataFrame:
     """Number of documents each term occurs in."""
-    return vocabulary(docs).select("term", "df")
+    return vocabulary(docs)
 
 
 def idf_table(docs: DataFrame, smooth: bool = True) -> tuple[DataFrame, DataFrame]:

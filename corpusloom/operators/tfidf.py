@@ -42,7 +42,7 @@ def fit(
     n_docs = docs.count()
     if n_docs == 0:
         raise ValueError("cannot fit on an empty corpus")
-    kept = vocabulary(docs, low, high).where(F.col("df") >= min_df).drop("cnt")
+    kept = vocabulary(docs, low, high).where(F.col("df") >= min_df)
     idf = F.log((F.lit(float(n_docs)) + 1.0) / (F.col("df") + 1.0)) + 1.0
     if max_features is not None:
         kept = kept.orderBy(F.col("df").desc(), "term").limit(max_features)
