@@ -121,8 +121,10 @@ def blobs():
     return x, [c for c in classes for _ in range(20)], classes
 
 
-def test_gradient_descent_equals_plain_descent(spark, blobs):
+@pytest.mark.parametrize("collected_rows", [0, 1_000_000])
+def test_gradient_descent_equals_plain_descent(spark, blobs, monkeypatch, collected_rows):
     x, y, classes = blobs
+    monkeypatch.setattr(linear, "MAX_COLLECTED_ROWS", collected_rows)
     labels, features = long_form(spark, x, y)
     model = linear.fit(labels, features, 5, classes, n_iterations=6)
     want, bias = reference_fit(x, y, classes, 6)
