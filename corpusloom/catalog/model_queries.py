@@ -29,7 +29,7 @@ def bow_transform(spark, sf):
 def vocab_lookup(spark, sf):
     docs = materialize(I.tokens(spark, sf), "tokens")
     vocab = counts.frequency_vocab(docs, 5)
-    return counts.term_counts(docs).join(vocab.select("term", "idx"), "term").select("doc_id", "idx", "cnt")
+    return counts.bow_transform(docs, vocab).select("doc_id", "idx", "cnt")
 
 
 def vocab_index(spark, sf):

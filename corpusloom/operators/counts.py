@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
+from corpusloom.plans.lineage import lookup_side
 from corpusloom.plans.ranking import ordered_index
 
 
@@ -40,7 +41,8 @@ def bow_fit(docs: DataFrame) -> DataFrame:
 
 def bow_transform(docs: DataFrame, vocab: DataFrame) -> DataFrame:
     """Counts of in-vocabulary terms per document."""
-    return term_counts(docs).join(vocab.select("term", "idx"), "term").select("doc_id", "term", "idx", "cnt")
+    known = lookup_side(vocab.select("term", "idx"), row_bytes=96)
+    return term_counts(docs).join(known, "term").select("doc_id", "term", "idx", "cnt")
 
 
 def frequency_vocab(docs: DataFrame, min_count: int = 5) -> DataFrame:

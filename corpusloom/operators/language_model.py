@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
 from corpusloom.functions.vector import NEG_INF, POS_INF, safe_log
-from corpusloom.plans.lineage import bounded_rows, materialize
+from corpusloom.plans.lineage import bounded_rows, lookup_side, materialize
 
 
 @dataclass(frozen=True)
@@ -113,18 +113,14 @@ def sequence_scores(docs: DataFrame, model: LanguageModel, smoothing: bool = Tru
     +Infinity.
     """
     windows = F.when(F.size("tokens") > 0, T.next_word_windows(F.col("tokens"), model.n))
-    # Equal windows of one sequence are counted before the joins.
-    pairs = (
-        docs.select("doc_id", F.explode_outer(windows).alias("w"))
-        .groupBy("doc_id", "w.context", "w.word")
-        .agg(F.count("w").alias("times"))
+    pairs = docs.select("doc_id", F.explode_outer(windows).alias("w")).select(
+        "doc_id", "w.context", "w.word", F.col("w").isNotNull().alias("_said")
     )
     scored = with_probability(pairs, model, smoothing)
-    some = F.col("times") > 0
     per_doc = scored.groupBy("doc_id").agg(
-        F.sum("times").alias("n_predictions"),
-        F.coalesce(F.bool_or(some & (F.col("p") <= 0)), F.lit(False)).alias("_impossible"),
-        F.coalesce(F.sum(F.when(some & (F.col("p") > 0), F.col("times") * F.log("p"))), F.lit(0.0)).alias("_ll"),
+        F.count_if("_said").alias("n_predictions"),
+        F.coalesce(F.bool_or(F.col("_said") & (F.col("p") <= 0)), F.lit(False)).alias("_impossible"),
+        F.coalesce(F.sum(F.when(F.col("_said") & (F.col("p") > 0), F.log("p"))), F.lit(0.0)).alias("_ll"),
     )
     ll = F.when(F.col("_impossible"), F.lit(NEG_INF)).otherwise(F.col("_ll"))
     perplexity = F.when((F.col("n_predictions") == 0) | F.col("_impossible"), F.lit(POS_INF)).otherwise(
@@ -149,13 +145,20 @@ def predict_next_words(
     fewer than ``top_k`` seen words, and then the alphabetically first 2*top_k words
     of the vocabulary always suffice.
     """
-    asked = contexts.select("context").distinct()
+    asked = materialize(contexts.select("context").distinct(), "lm-asked")
     ranked = Window.partitionBy("context").orderBy(F.col("cnt").desc(), "word")
-    seen = (
-        asked.join(model.ngrams, "context")
-        .withColumn("rank", F.row_number().over(ranked))
-        .where(F.col("rank") <= top_k)
-    )
+
+    def best_words(ngrams: DataFrame) -> DataFrame:
+        return ngrams.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top_k)
+
+    # Each task keeps only its own best words of a context before the shuffle. That needs
+    # the ranking to come straight after the scan or a broadcast, not after a shuffle join
+    # that gathers a frequent context in one task.
+    few = lookup_side(asked, row_bytes=128)
+    if few is not asked:
+        seen = best_words(model.ngrams.join(few, "context", "left_semi"))
+    else:
+        seen = best_words(model.ngrams).join(asked, "context", "left_semi")
     totals = asked.join(model.contexts.withColumnRenamed("cnt", "total"), "context", "left")
     if not smoothing:
         p = F.col("cnt") / F.col("total").cast("double")
