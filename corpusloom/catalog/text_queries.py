@@ -64,8 +64,8 @@ def _vector_lines(spark, sf):
 
 
 def read_word_vectors(spark, sf):
-    even = I.given_vectors(spark, sf).select(F.col("word").alias("term")).where(~F.col("term").endswith("7"))
-    found = vector_source.parse_word_vectors(_vector_lines(spark, sf), even)
+    wanted = I.table(spark, sf, "labels").select(F.concat(F.lit("w"), F.col("doc_id").cast("string")).alias("term"))
+    found = vector_source.parse_word_vectors(_vector_lines(spark, sf), wanted)
     return found.select("word", F.posexplode("vec").alias("dim", "value")).select(
         "word", F.col("dim").cast("bigint").alias("dim"), I.r6(F.col("value").cast("double"), "value")
     )
@@ -180,13 +180,16 @@ def doc_stats(spark, sf):
 
 
 def explicit_input_guards(spark, sf):
+    """Turns, page addresses and source names as typed inputs: known, token-free and unknown ones."""
     turns = I.table(spark, sf, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"),
-        # short inputs: what is left of a turn after its first sentence end, possibly nothing
-        F.regexp_extract("text", r"\.([^.]*)$", 1).alias("text"),
+        F.lit("turn").alias("kind"), (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text"
     )
+    urls = I.table(spark, sf, "pages").select(F.lit("url").alias("kind"), F.col("page_id").alias("doc_id"), F.col("url").alias("text"))
+    names = I.table(spark, sf, "documents").select(F.lit("source").alias("kind"), "doc_id", F.col("source").alias("text"))
+    typed = turns.unionByName(urls).unionByName(names)
+    keyed = typed.select(F.concat_ws(":", "kind", F.col("doc_id").cast("string")).alias("doc_id"), "text")
     vocab = counts.vocab_union(I.benchmark_tokens(spark, sf))
-    return preprocess.input_status(spread(turns, "doc_id"), [vocab], config=preprocess.TextConfig()).select("doc_id", "n_tokens", "status")
+    return preprocess.input_status(keyed, [vocab], config=preprocess.TextConfig()).select("doc_id", "n_tokens", "status")
 
 
 # --- scalar math ----------------------------------------------------------------------------
@@ -304,7 +307,7 @@ SQL = {
         SELECT category, found, expected, (SELECT sum(found) = sum(expected) AND bool_and((found > 0) = (expected > 0)) FROM b) AS accepted FROM b""",
     "category_except": "SELECT lang AS category FROM documents EXCEPT SELECT unnest(['en', 'de', 'it'])",
     "read_word_vectors": f"SELECT 'w' || vec_id AS word, (unnest(generate_series(1, len(embedding))) - 1)::BIGINT AS dim, "
-    f"{S.r6('unnest(embedding)::DOUBLE')} AS value FROM embeddings WHERE vec_id % 10 <> 7",
+    f"{S.r6('unnest(embedding)::DOUBLE')} AS value FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels)",
     "target_vocab": S.query("tf", "SELECT DISTINCT term FROM tf"),
     "random_vectors": S.query(
         "bench",
@@ -357,7 +360,8 @@ SQL = {
         f"SELECT doc_id, len(tokens)::BIGINT AS n_tokens, CASE WHEN len({S.strip('text')}) = 0 THEN 'empty' WHEN len(tokens) = 0 THEN 'no_tokens' "
         "WHEN NOT list_has_any(tokens, terms) THEN 'oov' ELSE 'ok' END AS status FROM g CROSS JOIN held",
         "held AS (SELECT list(DISTINCT term) AS terms FROM (SELECT unnest(tokens) AS term FROM bench))",
-        r"e AS (SELECT conv_id * 1000 + turn AS doc_id, regexp_extract(text, '\.([^.]*)$', 1) AS text FROM conversations)",
+"e AS (SELECT 'turn:' || (conv_id * 1000 + turn) AS doc_id, text FROM conversations UNION ALL SELECT 'url:' || page_id, url FROM pages "
+        "UNION ALL SELECT 'source:' || doc_id, source FROM documents)",
         f"g AS (SELECT doc_id, text, {S.full('text')} AS tokens FROM e)",
     ),
     "sigmoid": f"SELECT 'w' || vec_id AS word, dim, {S.r6('1 / (1 + exp(-greatest(least(x * 1000, 250), -250)))')} AS p FROM "
