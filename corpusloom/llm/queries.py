@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chat, langid, packing, toxicity
+from corpusloom.llm import chat, langid, mixing, ngram_join, packing, pii, substring, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -26,6 +26,51 @@ def toxicity_model(spark: SparkSession, sf: str, docs: DataFrame) -> toxicity.To
     return toxicity.fit(docs, table(spark, sf, "labels"), ~held_out(5, 0))
 
 
+def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without its passages of 35 words or more that occur again."""
+    found = substring.remove_repeats(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op8_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its class of near copies."""
+    return ngram_join.near_duplicates(table(spark, sf, "documents"))
+
+
+#: The query's tree: a source's number modulo 4 is its domain.
+DOMAIN = "'domain' || cast(try_cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4 as string)"
+MIX = {
+    "domain_weights": {"domain0": 0.4, "domain1": 0.3, "domain2": 0.2, "domain3": 0.1},
+    "lang_weights": {"en": 0.55, "de": 0.2, "fr": 0.15, "es": 0.1},
+}
+
+
+def mix_config() -> mixing.MixConfig:
+    """The production mix; made when a session is there, as it holds a column."""
+    return mixing.MixConfig(domain=F.expr(DOMAIN), **MIX)
+
+
+def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """Which documents the target mix takes, how often."""
+    mixed = mixing.mix(table(spark, sf, "documents"), mix_config())
+    return mixed.select("doc_id", "lang", "source", "domain", "tokens", "epoch")
+
+
+def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's personal data."""
+    found = pii.find_spans(table(spark, sf, "documents"))
+
+    def count(kind: str) -> F.Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in pii.KINDS],
+        F.sha2(pii.span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's toxicity score and its toxic passages."""
     docs = table(spark, sf, "documents")
@@ -60,10 +105,19 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_pii": op7_pii,
+    "op8_ngram_join": op8_ngram_join,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_language_id": op10_language_id,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_mixing": mixing.mix_sql(
+        "'domain' || (try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 4)::VARCHAR",
+        mixing.MixConfig(domain=None, **MIX),
+    ),
+}
