@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chat, langid, mixing, ngram_join, packing, pii, substring, toxicity
+from corpusloom.llm import chat, cover_tree, langid, mixing, multi_index, ngram_join, packing, pii, substring, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -32,6 +32,17 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_multi_index_hashing(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth."""
+    vectors = table(spark, sf, "embeddings")
+    return multi_index.neighbours(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+def op6_cover_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Every vector's links and class at cosine 0.9."""
+    return cover_tree.near_duplicates(table(spark, sf, "embeddings"))
+
+
 def op8_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with its class of near copies."""
     return ngram_join.near_duplicates(table(spark, sf, "documents"))
@@ -106,9 +117,11 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_multi_index_hashing": op2_multi_index_hashing,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_cover_tree": op6_cover_tree,
     "op7_pii": op7_pii,
     "op8_ngram_join": op8_ngram_join,
     "op9_chat_formatting": op9_chat_formatting,
