@@ -4,14 +4,17 @@ A document's row of the incidence matrix is its set of distinct shingles (five w
 case folded; a shorter text is one shingle). Rows with equal sets are taken together first. By the
 size-derived bound, documents with a Jaccard of 3/4 share a shingle among the rarest
 ``n - ceil(3n/4) + 1`` of each, in any common order; rarity comes from a counting sketch of fixed size over all
-shingles (a coarse count only costs speed). Only these entries are multiplied: they are dealt into
-blocks of columns, and each block's product yields pairs of rows that meet in it.
+shingles (a coarse count only costs speed). The smaller of two even has one among its rarest
+``n - ceil(6n/7) + 1``, its inner ones, and of two equal sizes both have. Only these entries are
+multiplied: they are dealt into blocks of columns, and each block's product yields pairs of rows that meet in it.
 
 Pairs of a group that already hang together needn't be compared. So each column first pairs its
-rows with one pivot; pairs whose sizes rule out the threshold are discarded, the others' full
+rows with one pivot, the row that meets others in most columns (the original of a group of altered
+copies has no shingles of its own); pairs whose sizes rule out the threshold are discarded, the others' full
 overlap is counted, in row blocks against the pivot's row. Components of the links found shrink the
-columns: only pairs across components are left. A few more pivot rounds follow while these are
-many, then all that is left is compared. No link between different texts is lost.
+columns: only pairs across components are left. While these are many, further rounds take several pivots
+at random among rows without a link, then all that is left is compared. Columns with the same rows
+count as one. No link between different texts is lost.
 
 Texts that are null or without words have an empty set and link with nothing. Repeated rows
 and documents with equal sets share a component. Rows that repeat an id with another text are
@@ -35,7 +38,9 @@ SHINGLE = 5
 #: Counters of the rarity sketch, and the parts in which tasks ship it. Its size doesn't follow the data.
 SKETCH_BITS, SKETCH_PARTS = 22, 64
 #: Pivot rounds before the rest is compared, and the pairs per document below which it is compared at once.
-ROUNDS, FEW = 4, 2
+ROUNDS, FEW = 6, 8
+#: Random pivots of a column in a round after the first.
+PIVOTS = 8
 #: Rows compared with one copy of a pivot.
 PIVOT_ROWS = 1000
 
@@ -102,15 +107,16 @@ def slot(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def rare_prefix(grams: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """The rarest shingles of a set, as many as the size bound asks for."""
-    keep = len(grams) - -(-3 * len(grams) // 4) + 1
+def rare_prefix(grams: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest shingles of a set, as many as the size bounds ask for: inner ones, and the others."""
+    n = len(grams)
     order = np.lexsort((grams, sketch[slot(grams)]))
-    return grams[order[:keep]]
+    inner, outer = n - -(-6 * n // 7) + 1, n - -(-3 * n // 4) + 1
+    return grams[order[:inner]], grams[order[inner:outer]]
 
 
 def meeting_rows(docs: DataFrame, sketch: np.ndarray, blocks: int) -> DataFrame:
-    """Columns with more than one row: (gram, set_id, size), stored."""
+    """Columns with more than one row, and an inner one: (gram, set_id, size, inner), stored."""
     sent = docs.sparkSession.sparkContext.broadcast(sketch)  # of fixed size
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
@@ -118,19 +124,21 @@ def meeting_rows(docs: DataFrame, sketch: np.ndarray, blocks: int) -> DataFrame:
         for (text,) in rows:
             grams = shingle_set(text)
             if len(grams):
-                yield from chunks.add(rare_prefix(grams, sent.value), set_id(grams), len(grams))
+                for inner, part in zip((1, 0), rare_prefix(grams, sent.value)):
+                    yield from chunks.add(part, set_id(grams), 2 * len(grams) + inner)
         yield from chunks.flush()
 
     def meet(keys: np.ndarray, owners: np.ndarray, sizes: np.ndarray) -> Iterator[tuple]:
         once = np.r_[True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])]
         keys, owners, sizes = keys[once], owners[once], sizes[once]
         starts, n = runs_of(keys)
-        several = np.repeat(n > 1, n)
-        keys, owners, sizes = keys[several], owners[several], sizes[several]
-        yield from zip(keys.view(np.int64).tolist(), owners.tolist(), sizes.tolist())
+        if len(starts):
+            several = np.repeat((n > 1) & (np.add.reduceat(sizes & 1, starts) > 0), n)
+            keys, owners, sizes = keys[several], owners[several], sizes[several]
+            yield from zip(keys.view(np.int64).tolist(), owners.tolist(), (sizes >> 1).tolist(), ((sizes & 1) == 1).tolist())
 
     chunks = map_rows(docs.select("text"), run, "block int, data binary", batch=8)
-    return materialize(each_block(chunks, blocks, meet, "gram long, set_id long, size long"), "columns")
+    return materialize(each_block(chunks, blocks, meet, "gram long, set_id long, size long, inner boolean"), "columns")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -158,6 +166,14 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_rows(rows.select("pivot", "place", "set_id", "text"), run, "a long, b long")
 
 
+def distinct_columns(rows: DataFrame) -> DataFrame:
+    """One of each set of columns that hold the same rows."""
+    name = F.xxhash64("set_id", "inner")
+    of = rows.groupBy("gram").agg(F.count("*").alias("n"), F.sum(name.cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("inner", "set_id")).alias("x"))
+    one = of.groupBy("n", "s", "x").agg(F.min("gram").alias("gram")).select("gram")
+    return rows.join(one, "gram", "left_semi")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; the component is its smallest linked document id."""
     sets, sketch = document_sets(docs)
@@ -168,37 +184,46 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = sets.where("size > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     wanted = columns.select("set_id").distinct().join(first, "set_id")
     texts = materialize(docs.select("doc_id", "text").join(wanted, "doc_id").select("set_id", "text"), "texts")
-    links = None
-    left = columns.withColumn("component", F.col("set_id"))
     n_sets = wanted.count()
-    label = None
+    degree = columns.groupBy("set_id").agg(F.count("*").alias("degree"))
+    left = distinct_columns(columns).join(degree, "set_id").withColumns({"component": F.col("set_id"), "linked": F.lit(False)})
+    left = materialize(left, "columns")
+    links = label = None
     for turn in range(ROUNDS + 1):
         counts = left.groupBy("gram", "component").count().groupBy("gram").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("same"))
         cross = counts.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0] or 0
         if not cross:
             break
-        fits = (4 * F.col("size") >= 3 * F.col("pivot_size")) & (4 * F.col("pivot_size") >= 3 * F.col("size"))
         last = turn == ROUNDS or cross <= FEW * n_sets
+        names = ("set_id", "size", "inner", "component")
         if last:
-            heads = left.select("gram", F.col("set_id").alias("pivot"), F.col("size").alias("pivot_size"), F.col("component").alias("pivot_component"))
-            met = left.join(heads, "gram").where((F.col("pivot") < F.col("set_id")) & fits)
+            heads = left.select("gram", *[F.col(c).alias(f"p_{c}") for c in names])
         else:
-            pick = F.min(F.struct(F.xxhash64("set_id", F.lit(turn)), "set_id", "size", "component"))
-            heads = left.groupBy("gram").agg(pick.alias("p")).select(
-                "gram", F.col("p.set_id").alias("pivot"), F.col("p.size").alias("pivot_size"), F.col("p.component").alias("pivot_component")
-            )
-            met = left.join(heads, "gram").where((F.col("pivot") != F.col("set_id")) & fits)
-        pairs = materialize(met.where("component != pivot_component").select("pivot", F.col("set_id").alias("other")).distinct(), "pairs")
+            value = F.struct(*names)
+            if turn:
+                best = [F.min_by(value, F.struct("linked", F.xxhash64("set_id", F.lit(8 * turn + i)))) for i in range(PIVOTS)]
+            else:
+                best = [F.max_by(value, F.struct("degree", "set_id"))]
+            heads = left.groupBy("gram").agg(F.array_distinct(F.array(*best)).alias("p")).select("gram", F.explode("p").alias("p"))
+            heads = heads.select("gram", *[F.col(f"p.{c}").alias(f"p_{c}") for c in names])
+        size, p_size = F.col("size"), F.col("p_size")
+        fits = F.when(size < p_size, F.col("inner") & (4 * size >= 3 * p_size))
+        fits = fits.when(size > p_size, F.col("p_inner") & (4 * p_size >= 3 * size)).otherwise(F.col("inner") & F.col("p_inner"))
+        met = left.join(heads, "gram").where((F.col("component") != F.col("p_component")) & fits)
+        if last:
+            met = met.where("p_set_id < set_id")
+        pairs = materialize(met.select(F.col("p_set_id").alias("pivot"), F.col("set_id").alias("other")).distinct(), "pairs")
         found = verified(pairs, texts)
         links = materialize(found if links is None else found.unionByName(links), "links")
         label = materialize(components(links), "labels")
         if last:
             break
         # A pivot has met all rows of its columns.
-        rest = left.join(heads.select("gram", F.col("pivot").alias("set_id")), ["gram", "set_id"], "left_anti").drop("component")
-        named = rest.join(label, rest.set_id == label.node, "left").select("gram", "set_id", "size", F.coalesce("component", "set_id").alias("component"))
-        several = named.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("gram")
-        left = materialize(named.join(several, "gram"), "columns")
+        rest = left.join(heads.select("gram", F.col("p_set_id").alias("set_id")), ["gram", "set_id"], "left_anti").drop("component", "linked")
+        named = rest.join(label, rest.set_id == label.node, "left")
+        named = named.withColumns({"linked": F.col("node").isNotNull(), "component": F.coalesce("component", "set_id")}).drop("node")
+        several = named.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("inner").alias("i"))
+        left = materialize(distinct_columns(named.join(several.where("x != y and i").select("gram"), "gram")), "columns")
     if label is None:
         named = first.select("set_id", F.col("set_id").alias("component"), "doc_id")
     else:
