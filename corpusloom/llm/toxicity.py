@@ -61,7 +61,8 @@ class ToxicityModel:
 
     def score(self, evidence: float) -> float:
         a, b = self.curve
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, a + b * evidence))))
+        x = a + b * evidence
+        return 0.0 if x < -500 else 1 / (1 + math.exp(-x)) if x < 500 else 1.0
 
 
 def token_scores(scores: dict[str, float], neutral: float, text: str) -> tuple[list[tuple[float, int, int]], int]:
