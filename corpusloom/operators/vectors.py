@@ -113,10 +113,12 @@ def _pool(terms: DataFrame, vectors: DataFrame, weight: Column, dim: int) -> Dat
     """Weighted mean of the vectors of known words; a document without any gets zeros.
 
     Each dimension is one sum, so a document is one row of partial sums in the shuffle
-    and never ``dim`` rows.
+    and never ``dim`` rows. A vector of another length than ``dim`` is an error.
     """
     check_vectors(vectors)
-    table = lookup_side(vectors.select(F.col("word").alias("term"), "vec"), row_bytes=64 + 8 * dim)
+    wrong = F.raise_error(F.format_string("a vector has %s components, not %s", F.size("vec"), F.lit(dim)))
+    checked = F.when(F.col("vec").isNull() | (F.size("vec") == dim), F.col("vec")).otherwise(wrong)
+    table = lookup_side(vectors.select(F.col("word").alias("term"), checked.alias("vec")), row_bytes=64 + 8 * dim)
     weighed = terms.join(table, "term", "left").select(
         "doc_id",
         F.when(F.col("vec").isNotNull(), F.col("cnt")).alias("n"),

@@ -284,3 +284,10 @@ def test_copies_stay_together(spark):
 def test_split_rejects_bad_size(spark):
     with pytest.raises(ValueError):
         split.stratified_split(spark.createDataFrame([(1, "a")], "doc_id bigint, category string"), 1.5)
+
+
+def test_counts_of_an_unknown_class(spark):
+    labels = spark.createDataFrame([("x",)], "category string")
+    table = spark.createDataFrame([("x", "a", 1), ("y", "b", 2)], "category string, term string, cnt bigint")
+    with pytest.raises(ValueError, match="'y'"):
+        nb.fit_counts(labels, table)

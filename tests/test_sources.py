@@ -4,6 +4,7 @@ from corpusloom.catalog import oracle_sql, queries
 from corpusloom.operators import linear
 from corpusloom.plans import lineage
 from corpusloom.sources import corpus, models, vectors as vs
+from corpusloom.sources.vectors import parse_word_vectors
 
 
 def write(path, text, encoding="utf-8"):
@@ -112,3 +113,9 @@ def test_bounds_are_enforced(spark):
 
 def test_registry():
     assert set(oracle_sql()) <= set(queries()) and len(queries()) >= 85
+
+
+def test_type_suffixes_are_no_numbers(spark):
+    lines = spark.createDataFrame([(1, "a 1d 2f"), (2, "a 1e1 -.5"), (3, "b 0x1 2")], "line_no long, value string")
+    vocab = spark.createDataFrame([("a",), ("b",)], "term string")
+    assert [tuple(r) for r in parse_word_vectors(lines, vocab).collect()] == [("a", [10.0, -0.5])]

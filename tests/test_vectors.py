@@ -214,3 +214,11 @@ def test_kmeans_and_pca(spark):
     assert abs(xy.agg(F.avg("x")).first()[0]) < 1e-9
     both = points.join(labels, "id")
     assert cluster.silhouette_squared(both) > cluster.silhouette(both).first()[0] > 0.9
+
+
+def test_pooling_rejects_other_lengths(spark):
+    docs = spark.createDataFrame([(1, ["a"])], "doc_id bigint, tokens array<string>")
+    table = spark.createDataFrame([("a", [1.0, 2.0, 3.0])], "word string, vec array<double>")
+    for dim in (2, 5):
+        with pytest.raises(Exception, match="3 components"):
+            vectors.pool_mean(docs, table, dim).collect()
