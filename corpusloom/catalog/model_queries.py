@@ -115,7 +115,10 @@ def lm_log_likelihood(spark, sf):
 def lm_sequence_probability(spark, sf):
     model = lm.train(I.tokens(spark, sf), 2)
     turns = lm.sequence_scores(I.conversation_tokens(spark, sf), model)
-    return turns.select("doc_id", F.round(F.col("probability") * 1e6, 6).alias("probability_ppm"))
+    p = F.col("probability")
+    power = F.when(p < 1e-300, F.lit(0.0)).otherwise(F.floor(F.log10(p)).cast("double"))  # below it, doubles lose digits
+    digits = F.when(p < 1e-300, F.lit(0.0)).otherwise(p / F.pow(F.lit(10.0), power))
+    return turns.select("doc_id", power.cast("int").alias("power"), F.round(digits, 5).alias("digits"))
 
 
 def lm_perplexity(spark, sf):
@@ -297,7 +300,9 @@ SQL = {
     ),
     "lm_sequence_probability": S.query(
         "tok turns",
-        "SELECT b.doc_id, round(exp(coalesce(sum(ln(p)), 0)) * 1000000, 6) AS probability_ppm FROM turns b LEFT JOIN p USING (doc_id) GROUP BY 1",
+        "SELECT doc_id, CASE WHEN q < 1e-300 THEN 0 ELSE floor(log10(q)) END::INTEGER AS power, "
+        "CASE WHEN q < 1e-300 THEN 0 ELSE round(q / pow(10.0::DOUBLE, floor(log10(q))), 5) END::DOUBLE AS digits FROM "
+        "(SELECT b.doc_id, exp(coalesce(sum(ln(p)), 0)) AS q FROM turns b LEFT JOIN p USING (doc_id) GROUP BY 1)",
         *S.LM, S.bigrams("turns", "held"), _LL[-1],
     ),
     "lm_perplexity": S.query(

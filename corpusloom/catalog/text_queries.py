@@ -298,8 +298,8 @@ SQL = {
         e AS (SELECT category, unnest(generate_series(0, n - 1)) AS i FROM c),
         t(k, title, text) AS (VALUES {_TEMPLATES})
         SELECT row_number() OVER (ORDER BY category, i) - 1 AS doc_id, category, title || ' (Part ' || (i + 1) || ')' AS title,
-        text || ' Article reference ID ' || upper(substr(category, 1, 3)) || '-' || printf('%04d', i + 1)
-        || ' provides detailed coverage on industry developments.' AS text FROM e JOIN t ON k = i % 3""",
+        text || ' Filed under ' || upper(substr(category, 1, 3)) || '-' || printf('%04d', i + 1)
+        || ' for later reading.' AS text FROM e JOIN t ON k = i % 3""",
     "corpus_gate": f"""WITH f AS (SELECT lang AS category, count(*) AS found FROM documents GROUP BY 1),
         w AS (SELECT category, 100 AS expected FROM (VALUES {S.LANG_VALUES}) v(category)),
         b AS (SELECT coalesce(f.category, w.category) AS category, coalesce(found, 0) AS found, coalesce(expected, 0)::BIGINT AS expected

@@ -158,6 +158,7 @@ REASONS = (
     ("tech", "politics", "The piece covers governmental cyber-security policies, state digital surveillance laws, or parliamentary internet censorship."),
     ("entertainment", "politics", "The article discusses cultural censorship, public broadcasting funding disputes, or political figures appearing in media events."),
 )
+# Fixed value: the reason where no rule fits.
 DEFAULT_REASON = "Cross-domain terminology: text contains strong positive indicators for %s which statistically outnumbered unique features for %s."
 
 

@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.plans.lineage import bounded_rows
+from corpusloom.plans.lineage import bounded_rows, materialize
 
 MAX_CLASSES = 10_000
 _BUCKET_DIGITS = 4  # hex digits of the hash used as histogram bucket
@@ -45,13 +45,24 @@ def stratified_split(
     are not shuffled.
 
     ``unit`` may name a group key, for example a text hash, to keep copies on one
-    side; test counts then are the closest reachable from below.
+    side; test counts then are the closest reachable from below. A group whose documents
+    have several classes counts with all of them for the most frequent one (ties: the
+    smaller name), so it too stays on one side. Documents without a key are one group.
     """
     if not 0.0 < test_size < 1.0:
         raise ValueError("test_size must lie between 0 and 1")
-    units = docs.groupBy("category", unit).agg(F.count("*").alias("_size")) if unit != "doc_id" else (
-        docs.select("category", unit, F.lit(1).cast("bigint").alias("_size"))
-    )
+    if unit != "doc_id":
+        per_class = docs.groupBy(unit, "category").agg(F.count("*").alias("_n"))
+        main = F.min(F.struct((-F.col("_n")).alias("_n"), "category"))["category"].alias("_class")
+        groups = per_class.groupBy(F.col(unit).alias("_unit")).agg(main, F.sum("_n").alias("_size"))
+        groups = materialize(groups, "split-groups")
+        units = groups.select(F.col("_class").alias("category"), F.coalesce(F.col("_unit").cast("string"), F.lit("")).alias("_key"), "_size")
+        docs_of = docs.join(groups.select("_unit", "_class"), F.col(unit).eqNullSafe(F.col("_unit")))
+        docs_of = docs_of.withColumn("_key", F.coalesce(F.col(unit).cast("string"), F.lit("")))
+    else:
+        units = docs.select("category", F.col(unit).alias("_key"), F.lit(1).cast("bigint").alias("_size"))
+        docs_of = docs.withColumns({"_class": F.col("category"), "_key": F.col(unit)})
+    columns, unit = docs.columns, "_key"
     keyed = units.withColumn("_h", split_key(seed, F.col(unit)))
     keyed = keyed.withColumn("_bucket", F.substring("_h", 1, _BUCKET_DIGITS))
     histogram = keyed.groupBy("category", "_bucket").agg(F.sum("_size").alias("_n"))
@@ -59,7 +70,7 @@ def stratified_split(
     sizes = {
         r["category"]: r["n"]
         for r in bounded_rows(
-            docs.groupBy("category").agg(F.count("*").alias("n")), MAX_CLASSES, "classes to split"
+            units.groupBy("category").agg(F.sum("_size").alias("n")), MAX_CLASSES, "classes to split"
         )
     }
     take = test_allocation(sizes, test_size)
@@ -95,14 +106,14 @@ def stratified_split(
     )
     limits = spark.createDataFrame(
         [tuple(r) for r in cuts],
-        f"category string, _cut string, _last_h string, _last_u {docs.schema[unit].dataType.simpleString()}",
+        f"_class string, _cut string, _last_h string, _last_u {units.schema[unit].dataType.simpleString()}",
     )
     h, bucket = F.col("_hash"), F.substring("_hash", 1, _BUCKET_DIGITS)
     in_cut = (h < F.col("_last_h")) | ((h == F.col("_last_h")) & (F.col(unit) <= F.col("_last_u")))
     is_test = (bucket < F.col("_cut")) | F.coalesce(in_cut, F.lit(False))
     return (
-        docs.join(F.broadcast(limits), "category", "left")  # one row per class
+        docs_of.join(F.broadcast(limits), "_class", "left")  # one row per class
         .withColumn("_hash", split_key(seed, F.col(unit)))
         .withColumn("split", F.when(is_test, "test").otherwise("train"))
-        .select(*docs.columns, "split")
+        .select(*columns, "split")
     )

@@ -8,11 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.counts import term_counts, vocabulary
-from corpusloom.plans.lineage import lookup_side, materialize
+from corpusloom.plans.lineage import lookup_side
 from corpusloom.plans.ranking import ordered_index
 
-MAX_SORTED_FEATURES = 1_000_000  # capped vocabularies up to this size are numbered in one task
-
 
 @dataclass(frozen=True)
 class Tfidf:
@@ -45,13 +43,9 @@ def fit(
     kept = vocabulary(docs, low, high).where(F.col("df") >= min_df)
     idf = F.log((F.lit(float(n_docs)) + 1.0) / (F.col("df") + 1.0)) + 1.0
     if max_features is not None:
-        kept = kept.orderBy(F.col("df").desc(), "term").limit(max_features)
-    kept = kept.withColumn("idf", idf)
-    if max_features is not None and max_features <= MAX_SORTED_FEATURES:
-        vocab = kept.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("bigint"))
-        vocab = materialize(vocab, "tfidf-vocab")
-    else:
-        vocab = ordered_index(kept, [F.col("term")])
+        ranked = ordered_index(kept, [F.col("df").desc(), F.col("term")], "_rank")
+        kept = ranked.where(F.col("_rank") < max_features).drop("_rank")
+    vocab = ordered_index(kept.withColumn("idf", idf), [F.col("term")])
     return Tfidf(vocab, low, high, sublinear, l2)
 
 

@@ -84,10 +84,11 @@ def skipgram_fit(
     epochs: int = 5,
     learning_rate: float = 0.025,
     seed: int = 42,
-    partitions: int | None = None,
+    partitions: int = 8,
 ) -> DataFrame:
     """Train skip-gram vectors with Spark's distributed trainer; returns (word, vec).
 
+    The vectors depend on ``partitions``, never on the number of cores.
     Texts are trained whole: the trainer's sentence limit is lifted above any document.
     """
     said = docs.select("tokens").where(F.size("tokens") > 0)
@@ -102,7 +103,7 @@ def skipgram_fit(
         maxIter=epochs,
         stepSize=learning_rate,
         seed=seed,
-        numPartitions=partitions or docs.sparkSession.sparkContext.defaultParallelism,
+        numPartitions=partitions,
         maxSentenceLength=2**31 - 1,
     )
     found = trainer.fit(said).getVectors()

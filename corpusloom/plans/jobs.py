@@ -269,15 +269,28 @@ def job_evaluate(trained: Trained, test: DataFrame, corpus: DataFrame, path: str
     return out
 
 
-def clustering(trained: Trained, test: DataFrame, k: int = 5, n_init: int = 10) -> DataFrame:
-    """K-means on the TF-IDF weighted skip-gram vectors: one row of figures."""
+def clustering(
+    trained: Trained, test: DataFrame, k: int = 5, n_init: int = 10, silhouette: str = "squared"
+) -> DataFrame:
+    """K-means on the TF-IDF weighted skip-gram vectors: one row of figures.
+
+    ``silhouette`` names the measure: ``squared`` distances in linear time, or ``euclidean``, which
+    compares all pairs of points. The row says which one it holds.
+    """
+    if silhouette not in ("squared", "euclidean"):
+        raise ValueError(f"unknown silhouette {silhouette!r}")
     points = trained.features.vectors_of(test, "w2v_tfidf").select(F.col("doc_id").alias("id"), "vec")
     points = materialize(points, "points")
     labels, centers, inertia = cluster.kmeans_fit(points, k, trained.settings.seed, n_init)
     _, ratios, _ = cluster.pca_2d(points, centers)
-    mean = cluster.silhouette(points.join(labels, "id"))
+    placed = points.join(labels, "id")
+    if silhouette == "euclidean":
+        mean = cluster.silhouette(placed)
+    else:
+        mean = placed.sparkSession.createDataFrame([(float(cluster.silhouette_squared(placed)),)], "silhouette double")
     return mean.select(
         F.lit(k).alias("k"),
+        F.lit(silhouette).alias("silhouette_measure"),
         F.round("silhouette", 4).alias("silhouette_score"),
         F.round(F.lit(float(inertia)), 2).alias("inertia"),
         F.round(F.lit(float(ratios[0])), 4).alias("pca_ratio_1"),

@@ -281,6 +281,15 @@ def test_copies_stay_together(spark):
     assert got.where("split = 'test'").count() <= 30
 
 
+def test_copies_under_two_labels_stay_together(spark):
+    rows = [(i, "ab"[i % 3 % 2], f"k{i // 4}" if i % 9 else None) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, category string, key string")
+    got = split.stratified_split(docs, 0.3, unit="key")
+    assert got.columns == ["doc_id", "category", "key", "split"] and got.count() == 400
+    assert got.groupBy("key").agg(F.countDistinct("split").alias("n")).where("n > 1").count() == 0
+    assert 80 <= got.where("split = 'test'").count() <= 120
+
+
 def test_split_rejects_bad_size(spark):
     with pytest.raises(ValueError):
         split.stratified_split(spark.createDataFrame([(1, "a")], "doc_id bigint, category string"), 1.5)

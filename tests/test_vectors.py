@@ -121,10 +121,8 @@ def blobs():
     return x, [c for c in classes for _ in range(20)], classes
 
 
-@pytest.mark.parametrize("collected_rows", [0, 1_000_000])
-def test_gradient_descent_equals_plain_descent(spark, blobs, monkeypatch, collected_rows):
+def test_gradient_descent_equals_plain_descent(spark, blobs):
     x, y, classes = blobs
-    monkeypatch.setattr(linear, "MAX_COLLECTED_ROWS", collected_rows)
     labels, features = long_form(spark, x, y)
     model = linear.fit(labels, features, 5, classes, n_iterations=6)
     want, bias = reference_fit(x, y, classes, 6)
@@ -153,15 +151,29 @@ def test_lbfgs_solver(spark, blobs):
     assert evaluate.accuracy(evaluate.truth_vs_pred(labels, scored)).first()["accuracy"] > 0.9
 
 
-def test_large_models_take_table_steps(spark, blobs, monkeypatch):
+def test_both_descents_give_the_same_model(spark, blobs):
     x, y, classes = blobs
     labels, features = long_form(spark, x, y)
+    one = linear.fit(labels, features, 5, classes, n_iterations=2)
+    other = linear.fit(labels, features, 5, classes, n_iterations=2, solver="gd_tables")
+    for table, keys, column in (("weights", ("category", "idx"), "weight"), ("bias", ("category",), "bias"),
+                                ("losses", ("category", "iteration"), "loss")):
+        a, b = ({tuple(r[k] for k in keys): r[column] for r in getattr(m, table).collect()} for m in (one, other))
+        assert len(a) and a == pytest.approx(b)
+
+
+def test_too_many_weights_for_one_step_are_refused(spark, blobs, monkeypatch):
+    x, y, classes = blobs
     monkeypatch.setattr(linear, "MAX_DRIVER_WEIGHTS", 1)
-    monkeypatch.setattr(linear, "initial_weights", lambda d, k, s: np.zeros((k, d)))
-    model = linear.fit(labels, features, 5, classes, n_iterations=2)
-    want, _ = reference_fit(x, y, classes, 2)
-    got = {(r["category"], r["idx"]): r["weight"] for r in model.weights.collect()}
-    assert [got["b", j] for j in range(5)] == pytest.approx(list(want[1]))
+    with pytest.raises(ValueError, match="gd_tables"):
+        linear.fit(*long_form(spark, x, y), 5, classes, n_iterations=1)
+
+
+def test_start_weights():
+    w = linear.initial_weights(20_000, 3, 42)
+    assert w.std() == pytest.approx(0.01, rel=0.02) and abs(w.mean()) < 1e-4
+    assert abs(np.corrcoef(w)[0, 1]) < 0.03 and (w == linear.initial_weights(20_000, 3, 42)).all()
+    assert (w[:, :7] == linear.initial_weights(7, 3, 42)).all() and (w != linear.initial_weights(20_000, 3, 7)).all()
 
 
 def test_zero_vectors_score_by_bias(spark):
