@@ -12,9 +12,10 @@ Pairs of a group that already hang together needn't be compared. So each column
 rows with one pivot, the row that meets others in most columns (the original of a group of altered
 copies has no shingles of its own); pairs whose sizes rule out the threshold are discarded, the others' full
 overlap is counted, in row blocks against the pivot's row. Components of the links found shrink the
-columns: only pairs across components are left. While these are many, further rounds take several pivots
-at random among rows without a link, then all that is left is compared. Columns with the same rows
-count as one. No link between different texts is lost.
+columns: only pairs across components are left. While these are many, further rounds take several random
+pivots, inner entries of linked rows first, as these fit most of a column and hang together; then all that is
+left is compared. Entries that no other of their column fits by the size bounds go, and columns with the same
+rows count as one. No link between different texts is lost.
 
 Texts that are null or without words have an empty set and link with nothing. Repeated rows
 and documents with equal sets share a component. Rows that repeat an id with another text are
@@ -38,9 +39,9 @@ SHINGLE = 5
 #: Counters of the rarity sketch, and the parts in which tasks ship it. Its size doesn't follow the data.
 SKETCH_BITS, SKETCH_PARTS = 22, 64
 #: Pivot rounds before the rest is compared, and the pairs per document below which it is compared at once.
-ROUNDS, FEW = 6, 8
+ROUNDS, FEW = 6, 2
 #: Random pivots of a column in a round after the first.
-PIVOTS = 8
+PIVOTS = 4
 #: Rows compared with one copy of a pivot.
 PIVOT_ROWS = 1000
 
@@ -133,7 +134,12 @@ def meeting_rows(docs: DataFrame, sketch: np.ndarray, blocks: int) -> DataFrame:
         keys, owners, sizes = keys[once], owners[once], sizes[once]
         starts, n = runs_of(keys)
         if len(starts):
-            several = np.repeat((n > 1) & (np.add.reduceat(sizes & 1, starts) > 0), n)
+            # An outer entry fits only smaller inner ones.
+            inner = (sizes & 1) == 1
+            low = np.minimum.reduceat(np.where(inner, sizes >> 1, np.uint32(2**31)), starts)
+            fit = inner | (sizes >> 1 > np.repeat(low, n))
+            keys, owners, sizes = keys[fit], owners[fit], sizes[fit]
+            several = np.repeat(n > 1, n) if len(n := runs_of(keys)[1]) else np.empty(0, bool)
             keys, owners, sizes = keys[several], owners[several], sizes[several]
             yield from zip(keys.view(np.int64).tolist(), owners.tolist(), (sizes >> 1).tolist(), ((sizes & 1) == 1).tolist())
 
@@ -190,8 +196,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     left = materialize(left, "columns")
     links = label = None
     for turn in range(ROUNDS + 1):
-        counts = left.groupBy("gram", "component").count().groupBy("gram").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("same"))
-        cross = counts.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0] or 0
+        # Pairs across components with an inner entry: all of them without those of two outer ones.
+        n, outer = F.col("n"), F.col("outer")
+        counts = left.groupBy("gram", "component").agg(F.count("*").alias("n"), F.sum((~F.col("inner")).cast("long")).alias("outer"))
+        counts = counts.groupBy("gram").agg((F.sum("n") ** 2 - F.sum(n * n) - F.sum("outer") ** 2 + F.sum(outer * outer)).alias("pairs"))
+        cross = (counts.agg(F.sum("pairs")).first()[0] or 0) / 2
         if not cross:
             break
         last = turn == ROUNDS or cross <= FEW * n_sets
@@ -201,7 +210,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         else:
             value = F.struct(*names)
             if turn:
-                best = [F.min_by(value, F.struct("linked", F.xxhash64("set_id", F.lit(8 * turn + i)))) for i in range(PIVOTS)]
+                best = [F.min_by(value, F.struct(~F.col("inner"), ~F.col("linked"), F.xxhash64("set_id", F.lit(PIVOTS * turn + i)))) for i in range(PIVOTS)]
             else:
                 best = [F.max_by(value, F.struct("degree", "set_id"))]
             heads = left.groupBy("gram").agg(F.array_distinct(F.array(*best)).alias("p")).select("gram", F.explode("p").alias("p"))
@@ -222,8 +231,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         rest = left.join(heads.select("gram", F.col("p_set_id").alias("set_id")), ["gram", "set_id"], "left_anti").drop("component", "linked")
         named = rest.join(label, rest.set_id == label.node, "left")
         named = named.withColumns({"linked": F.col("node").isNotNull(), "component": F.coalesce("component", "set_id")}).drop("node")
-        several = named.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("inner").alias("i"))
-        left = materialize(distinct_columns(named.join(several.where("x != y and i").select("gram"), "gram")), "columns")
+        several = named.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min(F.when(F.col("inner"), F.col("size"))).alias("low"))
+        fitting = named.join(several.where("x != y and low is not null").select("gram", "low"), "gram").where("inner or size > low").drop("low")
+        left = materialize(distinct_columns(fitting), "columns")
     if label is None:
         named = first.select("set_id", F.col("set_id").alias("component"), "doc_id")
     else:
