@@ -39,9 +39,9 @@ SHINGLE = 5
 #: Counters of the rarity sketch, and the parts in which tasks ship it. Its size doesn't follow the data.
 SKETCH_BITS, SKETCH_PARTS = 22, 64
 #: Pivot rounds before the rest is compared, and the pairs per document below which it is compared at once.
-ROUNDS, FEW = 6, 2
+ROUNDS, FEW = 4, 2
 #: Random pivots of a column in a round after the first.
-PIVOTS = 4
+PIVOTS = 8
 #: Rows compared with one copy of a pivot.
 PIVOT_ROWS = 1000
 
@@ -194,7 +194,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     degree = columns.groupBy("set_id").agg(F.count("*").alias("degree"))
     left = distinct_columns(columns).join(degree, "set_id").withColumns({"component": F.col("set_id"), "linked": F.lit(False)})
     left = materialize(left, "columns")
-    links = label = None
+    label = None
     for turn in range(ROUNDS + 1):
         # Pairs across components with an inner entry: all of them without those of two outer ones.
         n, outer = F.col("n"), F.col("outer")
@@ -223,8 +223,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             met = met.where("p_set_id < set_id")
         pairs = materialize(met.select(F.col("p_set_id").alias("pivot"), F.col("set_id").alias("other")).distinct(), "pairs")
         found = verified(pairs, texts)
-        links = materialize(found if links is None else found.unionByName(links), "links")
-        label = materialize(components(links), "labels")
+        # The stars of the known components stand for their links.
+        edges = found if label is None else found.unionByName(label.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        label = materialize(components(edges), "labels")
         if last:
             break
         # A pivot has met all rows of its columns.
@@ -234,6 +235,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         several = named.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min(F.when(F.col("inner"), F.col("size"))).alias("low"))
         fitting = named.join(several.where("x != y and low is not null").select("gram", "low"), "gram").where("inner or size > low").drop("low")
         left = materialize(distinct_columns(fitting), "columns")
+        if not turn:
+            # Most rows are done after the first round; later ones shuffle only the others' texts.
+            texts = materialize(texts.join(left.select("set_id").distinct(), "set_id", "left_semi"), "texts")
     if label is None:
         named = first.select("set_id", F.col("set_id").alias("component"), "doc_id")
     else:
