@@ -97,6 +97,13 @@ def noisy_predictions(spark: SparkSession, sf: str, salt: str = "a") -> DataFram
     return docs.withColumn("predicted", F.when(number % 5 == 0, other).otherwise(F.col("category")))
 
 
+def components(found: DataFrame) -> DataFrame:
+    """All components of ``found(word, vec)`` as (word, dim, value)."""
+    return found.select("word", F.posexplode("vec").alias("dim", "value")).select(
+        "word", F.col("dim").cast("bigint").alias("dim"), r6(F.col("value"), "value")
+    )
+
+
 def r6(column, name: str):
     """Six decimals, for comparison."""
     return F.round(column, 6).alias(name)

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from corpusloom.catalog import inputs as I
 from corpusloom.catalog import sql as S
 from corpusloom.operators import counts, evaluate, linear, tfidf
+from corpusloom.plans import jobs
 from corpusloom.plans.lineage import materialize, scratch_path
 from corpusloom.sources import reports
 
+FULL = jobs.Settings()
+
 
 def _embedding_data(spark, sf):
     given = I.table(spark, sf, "embeddings").select(
@@ -50,16 +53,16 @@ def lr_gd_step(spark, sf):
 def binary_lr_fit(spark, sf):
     labels = I.table(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("category"))
     docs = materialize(I.tokens(spark, sf).join(labels.select("doc_id"), "doc_id", "left_semi"), "tokens")
-    fitted = tfidf.fit(docs, 1, 1, 2, 2000)
+    fitted = tfidf.fit(docs, 1, 1, FULL.min_df, FULL.max_unigrams)
     features = tfidf.transform(docs, fitted).drop("term")
-    model = linear.fit(labels, features, fitted.vocab.count(), ["1"], n_iterations=20)
+    model = linear.fit(labels, features, fitted.vocab.count(), ["1"], n_iterations=FULL.n_iterations)
     return model.losses.select("category", "iteration", F.round("loss", 4).alias("loss"))
 
 
 def ovr_fit(spark, sf):
     labels, features = _embedding_data(spark, sf)
     names = sorted(r["category"] for r in labels.select("category").distinct().collect())
-    model = linear.fit(labels, features, I.DIM, names, n_iterations=10)
+    model = linear.fit(labels, features, I.DIM, names, n_iterations=FULL.n_iterations)
     return model.weights.select("category", "idx", F.round("weight", 6).alias("weight"))
 
 
