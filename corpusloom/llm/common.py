@@ -73,6 +73,25 @@ def as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
+def texts_of(docs: DataFrame, wanted: DataFrame, name: str, kind: str, key: Callable[[str | None], object]) -> DataFrame:
+    """``wanted(name, doc_id, ...)`` with the texts of ``docs(doc_id, text)``.
+
+    Rows are found by their document id. What only rows without an id hold is found by ``key``, which
+    makes ``name``, of SQL type ``kind``, from a text; so a text comes once for each such row.
+    """
+    given = docs.select("doc_id", "text")
+    if given.where("doc_id is null").isEmpty():
+        return given.join(wanted, "doc_id")
+
+    def run(rows: Iterable[tuple]) -> Iterator[tuple]:
+        for (text,) in rows:
+            yield key(text), text
+
+    nameless = map_rows(given.where("doc_id is null").select("text"), run, f"{name} {kind}, text string")
+    own = wanted.where("doc_id is null").join(nameless.dropDuplicates([name]), name)
+    return given.join(wanted, "doc_id").unionByName(own)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: (node, component), component the smallest node.
 

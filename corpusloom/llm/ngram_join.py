@@ -19,7 +19,7 @@ rows count as one. No link between different texts is lost.
 
 Texts that are null or without words have an empty set and link with nothing. Repeated rows
 and documents with equal sets share a component. Rows that repeat an id with another text are
-judged by their own text. Empty tables give empty results; further columns are ignored.
+judged by their own text. Rows without an id take part; a component of nothing else has no id either. Empty tables give empty results; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import ASCII_LOWER, components, gram_hashes, map_rows, mixed
+from corpusloom.llm.common import ASCII_LOWER, components, gram_hashes, map_rows, mixed, texts_of
 from corpusloom.llm.postings import BLOCK, Chunks, each_block, runs_of, signed, word_hashes
 from corpusloom.plans.lineage import materialize
 
@@ -159,8 +159,10 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     rows = others.unionByName(own).join(texts, "set_id").repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "place")
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
-        pivot_grams = np.empty(0, np.uint64)
-        for pivot, place, other, text in rows:
+        now, pivot_grams = None, np.empty(0, np.uint64)
+        for pivot, salt, place, other, text in rows:
+            if (pivot, salt) != now:
+                now, pivot_grams = (pivot, salt), np.empty(0, np.uint64)
             grams = shingle_set(text)
             if set_id(grams) != other:  # another text under the same document id
                 continue
@@ -169,7 +171,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             elif linked(pivot_grams, grams):
                 yield pivot, other
 
-    return map_rows(rows.select("pivot", "place", "set_id", "text"), run, "a long, b long")
+    return map_rows(rows.select("pivot", "salt", "place", "set_id", "text"), run, "a long, b long")
 
 
 def distinct_columns(rows: DataFrame) -> DataFrame:
@@ -182,6 +184,11 @@ def distinct_columns(rows: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; the component is its smallest linked document id."""
+    return classes(docs).select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, size, set_id, component, component_id) of every row; empty sets have no component."""
     sets, sketch = document_sets(docs)
     # A quarter of the shingles is multiplied.
     entries = sets.agg(F.sum("size")).first()[0] or 0
@@ -189,7 +196,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     columns = meeting_rows(docs, sketch, blocks)
     first = sets.where("size > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     wanted = columns.select("set_id").distinct().join(first, "set_id")
-    texts = materialize(docs.select("doc_id", "text").join(wanted, "doc_id").select("set_id", "text"), "texts")
+    found = texts_of(docs, wanted, "set_id", "long", lambda text: set_id(shingle_set(text)))
+    texts = materialize(found.select("set_id", "text"), "texts")
     n_sets = wanted.count()
     degree = columns.groupBy("set_id").agg(F.count("*").alias("degree"))
     left = distinct_columns(columns).join(degree, "set_id").withColumns({"component": F.col("set_id"), "linked": F.lit(False)})
@@ -243,13 +251,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     else:
         named = first.join(label, first.set_id == label.node, "left").select("set_id", F.coalesce("component", "set_id").alias("component"), "doc_id")
     lowest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of = named.join(lowest, "component").select("set_id", "component_id")
+    of = named.join(lowest, "component").select("set_id", "component", "component_id")
     empty = F.col("size") == 0
-    full = sets.where(~empty).join(of, "set_id").select("doc_id", F.col("size").alias("n_shingles"), "component_id")
-    return full.union(sets.where(empty).select("doc_id", "size", F.col("doc_id").alias("component_id")))
+    full = sets.where(~empty).join(of, "set_id").select("doc_id", "size", "set_id", "component", "component_id")
+    alone = sets.where(empty).select("doc_id", "size", "set_id", F.lit(None).cast("long"), F.col("doc_id"))
+    return full.union(alone)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller id; rows that repeat a kept id stay."""
-    kept = near_duplicates(docs).where("component_id <=> doc_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """``docs`` with one row of each class, that of the smallest id; texts without words all stay.
+
+    Of a class's rows with that id, or of those of a class without ids, the smallest text stays.
+    """
+    found = materialize(classes(docs), "classes")
+    full = found.where("size > 0")
+    id_first = F.struct(F.col("doc_id").isNull(), "doc_id", "set_id")
+    best = full.groupBy("component").agg(F.min(id_first).alias("b")).select(F.col("b.doc_id").alias("_id"), F.col("b.set_id").alias("_set"))
+    best = materialize(best, "best")
+    times = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    repeated = materialize(times.where("n > 1").select(F.col("doc_id").alias("_id")), "repeated")
+    kept = best.where("_id is not null").select("_id").union(found.where("size = 0 and doc_id is not null").select("doc_id"))
+    single = docs.join(kept.join(repeated, "_id", "left_anti"), F.col("doc_id") == F.col("_id"), "left_semi")
+    # Rows whose id doesn't tell them apart are chosen by their set.
+    same = docs.where("doc_id is null")
+    if not repeated.isEmpty():
+        same = same.unionByName(docs.join(repeated, F.col("doc_id") == F.col("_id"), "left_semi"))
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    set_of = F.udf(lambda text: set_id(shingle_set(text)), "long")
+    same = same.select(row.alias("_row"), F.col("doc_id").alias("_of"), F.col("text").alias("_text"), set_of("text").alias("_own"))
+    chosen = same.where("_own != 0").join(best, F.col("_of").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_set")), "left_semi")
+    chosen = chosen.groupBy("_of", "_own").agg(F.min_by("_row", "_text").alias("_row"))
+    return single.unionByName(chosen.select("_row.*")).unionByName(same.where("_own = 0").select("_row.*"))

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import gram_hashes, map_rows, mixed, words
+from corpusloom.llm.common import gram_hashes, map_rows, mixed, texts_of, words
 from corpusloom.llm.fm_index import merged, repeated_windows
 from corpusloom.llm.postings import BLOCK, Chunks, each_block, runs_of, signed, word_hashes
 from corpusloom.plans.lineage import bounded_rows, materialize
@@ -80,6 +80,11 @@ def anchor_places(h: np.ndarray, width: int) -> np.ndarray:
     return grams[high == grams]
 
 
+def digest_of(w: list[bytes]) -> str:
+    """The digest of all words of a text."""
+    return hashlib.sha256(b" ".join(w)).hexdigest()
+
+
 def document_table(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n_words, whole, places): the digest of all words and the anchors of every row, stored."""
 
@@ -87,22 +92,22 @@ def document_table(docs: DataFrame, width: int) -> DataFrame:
         for doc_id, text in rows:
             w = words(text)
             places = anchor_places(word_hashes(w), width) if len(w) >= width else np.empty(0, np.uint64)
-            yield doc_id, len(w), hashlib.sha256(b" ".join(w)).hexdigest(), places.tobytes()
+            yield doc_id, len(w), digest_of(w), places.tobytes()
 
     schema = "doc_id long, n_words long, whole string, places binary"
     return materialize(map_rows(docs.select("doc_id", "text"), run, schema, batch=500), "words")
 
 
 def repeated_anchors(texts: DataFrame, blocks: int, many: int) -> DataFrame:
-    """(doc_id, anchors) of ``texts(doc_id, places, copies)``: anchors at two places or more, block by block.
+    """(owner, anchors) of ``texts(owner, places, copies)``: anchors at two places or more, block by block.
 
-    Rows without a document hold the anchors at more than ``many`` places.
+    Rows without an owner hold the anchors at more than ``many`` places.
     """
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
         chunks = Chunks(blocks)
-        for doc_id, places, copies in rows:
-            yield from chunks.add(np.frombuffer(places, np.uint64), doc_id, min(copies, 2))
+        for owner, places, copies in rows:
+            yield from chunks.add(np.frombuffer(places, np.uint64), owner, min(copies, 2))
         yield from chunks.flush()
 
     def repeated(keys: np.ndarray, owners: np.ndarray, copies: np.ndarray) -> Iterator[tuple]:
@@ -119,8 +124,8 @@ def repeated_anchors(texts: DataFrame, blocks: int, many: int) -> DataFrame:
             for s, k in zip(starts.tolist(), n.tolist()):
                 yield int(owners[s]), np.unique(keys[s : s + k]).tobytes()
 
-    chunks = map_rows(texts.select("doc_id", "places", "copies"), run, "block int, data binary", batch=8)
-    return materialize(each_block(chunks, blocks, repeated, "doc_id long, anchors binary", batch=2000), "anchors")
+    chunks = map_rows(texts.select("owner", "places", "copies"), run, "block int, data binary", batch=8)
+    return materialize(each_block(chunks, blocks, repeated, "owner long, anchors binary", batch=2000), "anchors")
 
 
 def stretches(docs: DataFrame, frequent: np.ndarray, width: int) -> DataFrame:
@@ -129,7 +134,7 @@ def stretches(docs: DataFrame, frequent: np.ndarray, width: int) -> DataFrame:
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
         for text, whole, copies, parts in rows:
             w = words(text)
-            if hashlib.sha256(b" ".join(w)).hexdigest() != whole:  # another text under the same id
+            if digest_of(w) != whole:  # another text under the same id
                 continue
             low, grams = anchors(word_hashes(w), width)
             wanted = np.isin(low, np.concatenate([np.frombuffer(p, np.uint64) for p in parts]))
@@ -176,16 +181,17 @@ def search_shards(distinct: DataFrame, n_shards: int, width: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, table: DataFrame, width: int = WIDTH) -> DataFrame:
     """(whole, spans): word ranges [a, b), flat, to remove from each text that holds any."""
     once = table.where(F.col("n_words") >= width).groupBy("whole").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
-    once = materialize(once, "once")
-    texts = table.select("doc_id", "whole", "places").join(once, ["doc_id", "whole"]).dropDuplicates(["whole"])
+    once = materialize(once.withColumn("owner", F.xxhash64("whole")), "once")
+    same = table.doc_id.eqNullSafe(once.doc_id) & (table.whole == once.whole)
+    texts = table.join(once, same).select(once.owner, once.whole, "places", "copies").dropDuplicates(["whole"])
     n_words = table.agg(F.sum("n_words")).first()[0] or 0
     # About two anchor places in 29 words.
     places = n_words // 14
     found = repeated_anchors(texts, max(1, places // BLOCK), max(MANY, int(places * SHARE)))
-    frequent = [r.anchors for r in bounded_rows(found.where("doc_id is null"), int(4 / SHARE), "frequent anchors")]
+    frequent = [r.anchors for r in bounded_rows(found.where("owner is null"), int(4 / SHARE), "frequent anchors")]
     frequent = np.concatenate([np.empty(0, np.uint64), *[np.frombuffer(x, np.uint64) for x in frequent]])
-    found = found.where("doc_id is not null").groupBy("doc_id").agg(F.collect_list("anchors").alias("parts"))
-    chosen = docs.select("doc_id", "text").join(found.join(once, "doc_id"), "doc_id")
+    found = found.where("owner is not null").groupBy("owner").agg(F.collect_list("anchors").alias("parts"))
+    chosen = texts_of(docs, found.join(once, "owner"), "whole", "string", lambda text: digest_of(words(text)))
     all_stretches = stretches(chosen, frequent, width)
     distinct = all_stretches.groupBy("anchor", "digest", "stretch").agg(F.sum("copies").alias("copies"))
     distinct = materialize(distinct, "distinct")
@@ -206,7 +212,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
         for text, whole, flat in rows:
             w = words(text)
-            if hashlib.sha256(b" ".join(w)).hexdigest() != whole:
+            if digest_of(w) != whole:
                 continue
             found = merged(list(zip(flat[::2], flat[1::2])))
             kept, at = [], 0
@@ -217,7 +223,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             yield whole, len(w) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest(), [x for s in found for x in s]
 
     one = table.groupBy("whole").agg(F.min("doc_id").alias("doc_id")).join(spans, "whole")
-    texts = docs.select("doc_id", "text").join(one, "doc_id").select("text", "whole", "spans")
+    texts = texts_of(docs, one, "whole", "string", lambda text: digest_of(words(text))).select("text", "whole", "spans")
     cut = map_rows(texts, run, "whole string, n_removed long, kept_sha256 string, spans array<long>").dropDuplicates(["whole"])
     return table.join(cut, "whole", "left").select(
         "doc_id",
