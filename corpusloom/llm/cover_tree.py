@@ -198,8 +198,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, max_parts: int = 10
     v = F.col("embedding").cast("array<double>")
     rows = vectors.select("vec_id", F.when(usable(v), v).alias("v"))
     used = rows.where(F.col("v").isNotNull() & F.col("vec_id").isNotNull())
-    points = used.groupBy("v").agg(F.min("vec_id").alias("point"), F.count("*").alias("weight"))
-    points = materialize(points, "points")
+    points = used.groupBy("v").agg(F.min("vec_id").alias("least"), F.count_distinct("vec_id").alias("weight"))
+    # Ids may repeat, so points are named by their vectors.
+    points = materialize(points.withColumn("point", F.xxhash64("v", "least")), "points")
     parts, centres = parted(points)
     eps = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
     tops = bounded_rows(parts.groupBy("size", "cell", "share").agg(F.max("far").alias("far")), max_parts, "parts")
@@ -222,7 +223,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, max_parts: int = 10
         for _, x in pair.groupby("side"):
             sides.append({"ids": x["point"].to_numpy(), "weight": x["weight"].to_numpy(), "v": np.array(x["v"].tolist(), float)})
         sums, edges = link(sides[0], sides[1] if len(sides) > 1 else None, cosine)
-        out = pd.DataFrame([(i, None, n) for i, n in sums] + [(a, b, None) for a, b in edges], columns=["a", "b", "n"])
+        out = pd.DataFrame([(i, None, n) for i, n in sums] + [(a, b, None) for a, b in edges], columns=["a", "b", "n"], dtype=object)
         return out.astype({"a": "Int64", "b": "Int64", "n": "Int64"})
 
     found = materialize(met.groupBy("pair").applyInPandas(run, "a long, b long, n long"), "links")
@@ -230,7 +231,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, max_parts: int = 10
     label = components(found.where("b is not null").select("a", "b"))
     named = points.join(links, "point", "left").join(label, F.col("point") == F.col("node"), "left")
     # A point's own copies are linked, too.
-    named = named.select("v", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "point").alias("component_id"))
+    named = named.select("v", "least", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "point").alias("component"))
+    lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.join(lowest, "component").select("v", "n_links", "component_id")
     linked = used.join(named, "v").select("vec_id", "n_links", "component_id")
     alone = rows.where(F.col("v").isNull() | F.col("vec_id").isNull()).select("vec_id", F.lit(0).cast("long"), F.col("vec_id"))
     return linked.union(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

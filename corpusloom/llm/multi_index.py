@@ -14,7 +14,8 @@ shards' best are merged. Queries come in blocks, so neither side is ever whole i
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part.
 Equal vectors are indexed once, with their smallest ids, which is exact because ties go to smaller ids.
-Rows that repeat an id count as that many candidates only if their vectors differ. Empty tables
+Rows that repeat an id count as that many candidates only if their vectors differ; a query id with
+several vectors has one list, of the best over all of them. Empty tables
 give empty results; further columns are ignored.
 """
 
@@ -128,19 +129,25 @@ def neighbours(
     if lengths is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     given, asked = (x.where(F.size("v") == lengths.n).distinct() for x in (given, asked))
-    # One more than k: a query may have to leave itself out.
+    # Ids may repeat, so points and queries are named by their vectors.
     first = Window.partitionBy("v").orderBy("vec_id")
     kept = given.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
     points = kept.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    points = materialize(points.withColumn("point", F.min(F.array_min("ids")).over(Window.partitionBy("v"))), "points")
-    sample = points.orderBy(F.xxhash64("point"), "point").limit(sample_rows).select("v").collect()
+    points = points.withColumns({"point": F.xxhash64("v", F.array_min("ids")), "least": F.array_min("ids")})
+    points = materialize(points, "points")
+    # More than k: a query may have to leave itself out, with each of its vectors.
+    most = points.select(F.explode("ids").alias("id")).groupBy("id").count().agg(F.max("count")).first()[0]
+    wide = k + most
+    enough = max(enough, wide)
+    sample = points.orderBy(F.xxhash64("least"), "least", "point").limit(sample_rows).select("v").collect()
     codes = learn_codes(np.array([r.v for r in sample]))
     n_points, n_asked = points.count(), asked.select("v").distinct().count()
     shards, blocks = max(1, n_points // SHARD_ROWS), max(1, n_asked // BLOCK_QUERIES)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = points.select((F.pmod(F.xxhash64("point"), F.lit(shards))).alias("shard"), every(blocks).alias("block"), "point", "v")
-    q = asked.groupBy("v").agg(F.min("vec_id").alias("query"))
-    right = q.select(every(shards).alias("shard"), F.pmod(F.xxhash64("query"), F.lit(blocks)).alias("block"), "query", "v")
+    left = points.select((F.pmod(F.xxhash64("least"), F.lit(shards))).alias("shard"), every(blocks).alias("block"), "point", "v")
+    q = asked.groupBy("v").agg(F.min("vec_id").alias("least"))
+    q = q.select("v", "least", F.xxhash64("v", "least").alias("query"))
+    right = q.select(every(shards).alias("shard"), F.pmod(F.xxhash64("least"), F.lit(blocks)).alias("block"), "query", "v")
 
     def run(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple] = []
@@ -148,16 +155,16 @@ def neighbours(
             x, y = np.array(ours["v"].tolist()), np.array(theirs["v"].tolist())
             index, ids = SubstringIndex(codes.encode(x)), ours["point"].to_numpy()
             for query, vector, code in zip(theirs["query"], y, codes.encode(y)):
-                rows, d = search(index, x, code, vector, k + 1, enough, first=BITS // 4, step=BITS // 16)
+                rows, d = search(index, x, code, vector, wide, enough, first=BITS // 4, step=BITS // 16)
                 found += [(query, ids[r], s) for r, s in zip(rows, d)]
         return pd.DataFrame(found, columns=["query", "point", "score"])
 
     near = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(run, "query long, point long, score double")
     # The k best points of a query, those tied with the last included, hold its k best rows.
-    near = near.withColumn("r", F.rank().over(Window.partitionBy("query").orderBy("score"))).where(F.col("r") <= k + 1)
+    near = near.withColumn("r", F.rank().over(Window.partitionBy("query").orderBy("score"))).where(F.col("r") <= wide)
     rows = near.join(points.select("point", "ids"), "point").select("query", "score", F.explode("ids").alias("vec_id"))
     asking = asked.join(q, "v").select("query", F.col("vec_id").alias("query_id"))
-    pairs = rows.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))).where(F.col("n") <= k + 1)
+    pairs = rows.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))).where(F.col("n") <= wide)
     pairs = asking.join(pairs.drop("n"), "query").where("query_id != vec_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
