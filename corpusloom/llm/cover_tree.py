@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import components
 from corpusloom.llm.multi_index import usable
-from corpusloom.plans.lineage import bounded_rows, materialize
+from corpusloom.plans.lineage import BoundExceeded, materialize
 
 #: Points of a part on average, and the most centres.
 PART, CENTRES = 6_000, 64
@@ -192,9 +192,32 @@ def parted(points: DataFrame) -> tuple[DataFrame, dict[int, np.ndarray]]:
     return materialize(cells.join(shares, ["size", "cell"]).withColumn("share", share).drop("shares"), "parts"), centres
 
 
+def part_pairs(parts: DataFrame, centres: dict[int, np.ndarray], eps: float, max_parts: int) -> DataFrame:
+    """(size, cell, share, pair, side) of the parts that may hold vectors at ``eps``; a part with itself has one row.
+
+    The pairs are formed in tasks, each from some parts and all of them, which are at most ``max_parts``.
+    """
+    spark = parts.sparkSession
+    tops = materialize(parts.groupBy("size", "cell", "share").agg(F.max("far").alias("far")), "tops")
+    n = tops.count()
+    if n > max_parts:
+        raise BoundExceeded(f"parts: more than {max_parts} rows")
+    gaps = [(size, i, j, float(d)) for size, c in centres.items() for i, row in enumerate(apart(c, c)) for j, d in enumerate(row)]
+    gaps = spark.createDataFrame(gaps, "size int, cell long, cell2 long, gap double")
+    ours = tops.repartition(max(1, min(n, 200)), "cell", "share").join(F.broadcast(gaps), ["size", "cell"], "left")
+    theirs = tops.select(F.col("size").alias("size2"), F.col("cell").alias("to"), F.col("share").alias("share2"), F.col("far").alias("far2"))
+    same_kind = (F.col("size") == F.col("size2")) & (F.coalesce("cell2", "to") == F.col("to"))
+    once = (F.col("cell") < F.col("to")) | ((F.col("cell") == F.col("to")) & (F.col("share") <= F.col("share2")))
+    reach = F.coalesce("gap", F.lit(0.0)) - F.col("far") - F.col("far2") <= eps + SLACK
+    met = ours.join(F.broadcast(theirs), same_kind & once & reach)
+    met = materialize(met.select("size", "cell", "share", "to", "share2", F.monotonically_increasing_id().alias("pair")), "pairs")
+    first = met.select("size", "cell", "share", "pair", F.lit(0).alias("side"))
+    other = met.where("cell != to or share != share2").select("size", F.col("to").alias("cell"), F.col("share2").alias("share"), "pair", F.lit(1).alias("side"))
+    return first.union(other)
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.9, max_parts: int = 100_000) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors(vec_id, embedding)``."""
-    spark = vectors.sparkSession
     v = F.col("embedding").cast("array<double>")
     rows = vectors.select("vec_id", F.when(usable(v), v).alias("v"))
     used = rows.where(F.col("v").isNotNull() & F.col("vec_id").isNotNull())
@@ -203,20 +226,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, max_parts: int = 10
     points = materialize(points.withColumn("point", F.xxhash64("v", "least")), "points")
     parts, centres = parted(points)
     eps = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-    tops = bounded_rows(parts.groupBy("size", "cell", "share").agg(F.max("far").alias("far")), max_parts, "parts")
-    pairs = []
-    for n, p in enumerate(tops):
-        for q in tops[n:]:
-            if p["size"] == q["size"]:
-                c = centres.get(p["size"])
-                d = 0.0 if c is None else float(apart(c[p.cell : p.cell + 1], c[q.cell : q.cell + 1])[0, 0])
-                if d - p.far - q.far <= eps + SLACK:
-                    key = len(pairs)
-                    pairs.append((key, p["size"], p.cell, p.share, 0, q is p))
-                    if q is not p:
-                        pairs.append((key, q["size"], q.cell, q.share, 1, False))
-    table = spark.createDataFrame(pairs, "pair long, size int, cell long, share long, side int, own boolean")
-    met = parts.join(table, ["size", "cell", "share"]).select("pair", "side", "point", "weight", "v")
+    met = parts.join(part_pairs(parts, centres, eps, max_parts), ["size", "cell", "share"]).select("pair", "side", "point", "weight", "v")
 
     def run(pair: pd.DataFrame) -> pd.DataFrame:
         sides = []
