@@ -161,20 +161,20 @@ def log_odds(counts: DataFrame, prior: float, least: int, z: float, max_tokens:
 
 
 def apart(labelled: DataFrame) -> DataFrame:
-    """One of each set of (doc_id, text, toxic) rows whose texts share their smallest five-word hash.
+    """One of each set of (doc_id, text, toxic) rows of a label whose texts share their smallest five-word hash.
 
     Copies of a document, near ones too, mostly share it; they would make all of its words
     look like marks of its label.
     """
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
-        for doc_id, text in rows:
+        for doc_id, toxic, text in rows:
             hashes = np.fromiter(map(zlib.crc32, words(text)), np.uint64)
             grams = gram_hashes(mixed(hashes), min(5, max(1, len(hashes))))
-            yield doc_id, int(grams.min().astype(np.int64)) if len(grams) else 0
+            yield doc_id, toxic, int(grams.min().astype(np.int64)) if len(grams) else 0
 
-    least = map_rows(labelled.select("doc_id", "text"), run, "doc_id long, least long")
-    return least.groupBy("least").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    least = map_rows(labelled.select("doc_id", "toxic", "text"), run, "doc_id long, toxic int, least long")
+    return least.groupBy("least", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
 
 
 def fit(
