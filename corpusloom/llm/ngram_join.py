@@ -1,4 +1,4 @@
-"""Exact n-gram Jaccard join by a blocked sparse product of document by n-gram incidence.
+"""Exact n-gram Jaccard join: prefix filter in blocks of columns, and comparison with pivots.
 
 A document's row of the incidence matrix is its set of distinct shingles (five words, ASCII
 case folded; a shorter text is one shingle). Rows with equal sets are taken together first. By the
@@ -6,7 +6,8 @@ size-derived bound, documents with a Jaccard of 3/4 share a shingle among the ra
 ``n - ceil(3n/4) + 1`` of each, in any common order; rarity comes from a counting sketch of fixed size over all
 shingles (a coarse count only costs speed). The smaller of two even has one among its rarest
 ``n - ceil(6n/7) + 1``, its inner ones, and of two equal sizes both have. Only these entries are
-multiplied: they are dealt into blocks of columns, and each block's product yields pairs of rows that meet in it.
+used: they are dealt into blocks of columns, and each block yields the rows that meet in its columns. Overlaps aren't
+accumulated over the columns; the overlap of a pair is taken from both texts.
 
 Pairs of a group that already hang together needn't be compared. So each column first pairs its
 rows with one pivot, the row that meets others in most columns (the original of a group of altered
@@ -190,7 +191,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, size, set_id, component, component_id) of every row; empty sets have no component."""
     sets, sketch = document_sets(docs)
-    # A quarter of the shingles is multiplied.
+    # A quarter of the shingles is dealt into blocks.
     entries = sets.agg(F.sum("size")).first()[0] or 0
     blocks = max(1, entries // 4 // BLOCK)
     columns = meeting_rows(docs, sketch, blocks)
