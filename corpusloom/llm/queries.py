@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chat, cover_tree, langid, mixing, multi_index, ngram_join, packing, pii, substring, toxicity
+from corpusloom.llm import chat, cover_tree, langid, mixing, multi_index, ngram_join, packing, pii, substring, toxicity, word_queries
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -126,6 +126,7 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_language_id": op10_language_id,
+    **word_queries.QUERIES,
 }
 
 SQL: dict[str, str] = {
@@ -133,4 +134,5 @@ SQL: dict[str, str] = {
         "'domain' || (try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 4)::VARCHAR",
         mixing.MixConfig(domain=None, **MIX),
     ),
+    **word_queries.SQL,
 }
