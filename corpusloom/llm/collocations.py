@@ -11,7 +11,7 @@ time only.
 
 The fingerprints decide nothing. In a last pass each block takes the places of runs whose fingerprints
 passed, compares the text at all places of a fingerprint with that at the first, and hands on the
-text with its count, once for each different text. Grouped by text, the counts are exact whatever
+text with its count, once for each different text. Added up by text, the counts are exact whatever
 fingerprints collide. Only these frequent phrases are ever made into strings. (Places stay in the task
 that holds the text; what is shuffled is the fingerprint with its count, then the phrase.)
 
@@ -23,6 +23,7 @@ Further columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -37,12 +38,16 @@ LONGEST = 4
 #: Bytes of text that are hashed together.
 BLOCK_BYTES = 1 << 20
 #: Fingerprints that a task gathers before it adds up equal ones and hands them on.
-GATHER = 4_000_000
+GATHER = 3_000_000
 #: Fingerprints in a range that is counted at once, on average.
 RANGE_ENTRIES = 500_000
 MIN_BITS, MAX_BITS = 1 << 20, 1 << 28
+#: Bytes of a fingerprint that are shuffled, behind the bits that name its range.
+KEY_BYTES = 5
 #: Distinct phrases that a task counts before it hands its partial counts on.
-FLUSH = 200_000
+FLUSH = 400_000
+#: Bytes of text behind a part of the phrases that is added up at once.
+PART_BYTES = 16 << 20
 #: Bytes to what they mean: ends of pieces to line feed, tab to blank, A-Z to a-z, others to themselves.
 MEANING = bytes(10 if chr(b) in ".,;:!?\n\v\f\r" else 32 if b == 9 else ASCII_LOWER[b] for b in range(256))
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -209,22 +214,27 @@ def run_places(block: Block, sizes: tuple[int, ...], bits: Bits | None) -> Itera
 
 
 def fingerprint_counts(docs: DataFrame, sizes: tuple[int, ...], ranges: int, bits=None) -> DataFrame:
-    """(range, keys, counts): fingerprints of the runs of ``docs(lang, text)``, added up within tasks."""
-    shift = np.uint64(64 - (ranges - 1).bit_length()) if ranges > 1 else None
+    """(range, keys, counts): fingerprints of the runs of ``docs(lang, text)``, added up within tasks.
+
+    A key is the ``KEY_BYTES`` bytes of the fingerprint that follow the bits of its range.
+    """
+    below = 64 - (ranges - 1).bit_length()
+    shift, cut_off = np.uint64(below - 8 * KEY_BYTES), np.uint64(8 * KEY_BYTES)
 
     def count(rows: Iterable[tuple]) -> Iterator[tuple]:
         hasher, known = Hasher(), Bits(bits.value) if bits else None
         held: list[np.ndarray] = []
 
         def handed_on() -> Iterator[tuple]:
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            keys, counts = np.unique(np.concatenate(held) >> shift, return_counts=True)
             held.clear()
             counts = counts.astype("<u4")
-            part = (keys >> shift).astype(np.int64) if ranges > 1 else np.zeros(len(keys), np.int64)
+            part = (keys >> cut_off).astype(np.int64)
+            low = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
             ends = np.append(np.flatnonzero(np.diff(part)) + 1, len(keys))
             start = 0
             for end in ends.tolist():
-                yield int(part[start]), keys[start:end].tobytes(), counts[start:end].tobytes()
+                yield int(part[start]), low[start:end].tobytes(), counts[start:end].tobytes()
                 start = end
 
         for block in blocks(rows, hasher):
@@ -243,7 +253,7 @@ def passed(counted: DataFrame, ranges: int, n_bits: int, least: int) -> np.ndarr
     tasks = min(ranges, max(int(spark.conf.get("spark.sql.shuffle.partitions")), ranges // 8))
     dealt = counted.repartition(tasks, "range").sortWithinPartitions("range")
     own_bits = n_bits // ranges
-    shift = np.uint64(64 - (n_bits - 1).bit_length())
+    shift = np.uint64(8 * KEY_BYTES - (own_bits - 1).bit_length())
 
     def total(rows: Iterable[tuple]) -> Iterator[tuple]:
         here, keys, counts = None, [], []
@@ -255,9 +265,8 @@ def passed(counted: DataFrame, ranges: int, n_bits: int, least: int) -> np.ndarr
             first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
             found = k[first][np.add.reduceat(c[order], first) >= least]
             if len(found):
-                place = (found >> shift).astype(np.int64) - here * own_bits
                 bits = np.zeros(own_bits, np.uint8)
-                bits[place] = 1
+                bits[(found >> shift).astype(np.int64)] = 1
                 yield here, np.packbits(bits, bitorder="little").tobytes()
 
         for r, k, c in rows:
@@ -265,7 +274,9 @@ def passed(counted: DataFrame, ranges: int, n_bits: int, least: int) -> np.ndarr
                 if keys:
                     yield from frequent()
                 here, keys, counts = r, [], []
-            keys.append(np.frombuffer(k, np.uint64))
+            whole = np.zeros((len(k) // KEY_BYTES, 8), np.uint8)
+            whole[:, :KEY_BYTES] = np.frombuffer(k, np.uint8).reshape(-1, KEY_BYTES)
+            keys.append(whole.view("<u8").ravel())
             counts.append(np.frombuffer(c, "<u4"))
         if keys:
             yield from frequent()
@@ -276,40 +287,81 @@ def passed(counted: DataFrame, ranges: int, n_bits: int, least: int) -> np.ndarr
     return out
 
 
-def phrase_counts(docs: DataFrame, bits) -> DataFrame:
-    """(lang, phrase, k, f): texts of the runs that passed, with exact partial counts.
-
-    ``k`` is the number of words; a row with 0 words holds the language's number of all words.
+def block_phrases(block: Block, bits: Bits) -> Iterator[tuple[bytes, int, int]]:
+    """(phrase, words, count) of the block's runs whose fingerprints passed; one text may come more than once."""
+    number = block.word_numbers()
+    for n, places, keys in run_places(block, tuple(range(1, LONGEST + 1)), bits):
+        kept = bits.has(keys)
+        places, keys = places[kept], keys[kept]
+        _, first, group, many = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+        like = places[first[group]]
+        same = np.ones(len(places), bool)
+        for k in range(n):
+            same &= number[places + k] == number[like + k]
+        if not same.all():  # other texts with the fingerprint of an earlier one
+            many = many - np.bincount(group[~same], minlength=len(many))
+            yield from ((block.phrase(i, n), n, 1) for i in places[~same].tolist())
+        at = places[first]
+        plain = np.ones(len(at), bool)  # words that are one blank apart can be taken as they stand
+        for k in range(n - 1):
+            plain &= block.start[at + k + 1] == block.end[at + k] + 1
+        text = block.text
+        for i, begin, end, as_is, m in zip(at.tolist(), block.start[at].tolist(), block.end[at + n - 1].tolist(), plain.tolist(), many.tolist()):
+            yield text[begin:end] if as_is else block.phrase(i, n), n, m
+
+
+def phrase_counts(docs: DataFrame, bits, least: int, parts: int) -> DataFrame:
+    """(lang, phrase, k, f) of the runs that passed and occur at least ``least`` times, by their text.
+
+    ``k`` is the number of words; a row with 0 words holds the language's number of all words. Tasks hand
+    on sorted phrases in parts of the hash of their text.
     """
 
     def texts(rows: Iterable[tuple]) -> Iterator[tuple]:
         hasher, known = Hasher(), Bits(bits.value)
-        n_words: Counter[str] = Counter()
-        held: Counter[tuple] = Counter()
+        held: dict[str, dict[bytes, int]] = {}
+
+        def handed_on() -> Iterator[tuple]:
+            for lang, found in held.items():
+                dealt: dict[int, list[bytes]] = {}
+                for phrase in sorted(found):
+                    dealt.setdefault(zlib.crc32(phrase) % parts, []).append(phrase)
+                for part, own in dealt.items():
+                    yield part, lang, b"\n".join(own), np.array([found[p] for p in own], "<i8").tobytes()
+            held.clear()
+
         for block in blocks(rows, hasher):
-            n_words[block.lang] += len(block) - block.skip
-            number = block.word_numbers()
-            for n, places, keys in run_places(block, tuple(range(1, LONGEST + 1)), known):
-                kept = known.has(keys)
-                places, keys = places[kept], keys[kept]
-                _, first, group, many = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-                like = places[first[group]]
-                same = np.ones(len(places), bool)
-                for k in range(n):
-                    same &= number[places + k] == number[like + k]
-                if not same.all():  # other texts with the fingerprint of an earlier one
-                    many = many - np.bincount(group[~same], minlength=len(many))
-                    for i in places[~same].tolist():
-                        held[block.lang, block.phrase(i, n), n] += 1
-                for i, m in zip(places[first].tolist(), many.tolist()):
-                    held[block.lang, block.phrase(i, n), n] += m
-            if len(held) >= FLUSH:
-                yield from ((lang, p.decode(), n, m) for (lang, p, n), m in held.items())
-                held.clear()
-        yield from ((lang, p.decode(), n, m) for (lang, p, n), m in held.items())
-        yield from ((lang, None, 0, n) for lang, n in n_words.items())
-
-    return map_rows(docs, texts, "lang string, phrase string, k int, f long", batch=20_000)
+            found = held.setdefault(block.lang, {b"": 0})
+            found[b""] += len(block) - block.skip  # no phrase is empty: this counts all words
+            for phrase, _, m in block_phrases(block, known):
+                found[phrase] = found.get(phrase, 0) + m
+            if sum(map(len, held.values())) >= FLUSH:
+                yield from handed_on()
+        yield from handed_on()
+
+    def add(rows: Iterable[tuple]) -> Iterator[tuple]:
+        here, total = None, {}
+
+        def frequent() -> Iterator[tuple]:
+            for phrase, f in total.items():
+                if not phrase:
+                    yield here[1], None, 0, f
+                elif f >= least:
+                    yield here[1], phrase.decode(), phrase.count(b" ") + 1, f
+            total.clear()
+
+        for part, lang, phrases, counts in rows:
+            if (part, lang) != here:
+                yield from frequent()
+                here = part, lang
+            for phrase, f in zip(phrases.split(b"\n"), np.frombuffer(counts, "<i8").tolist()):
+                total[phrase] = total.get(phrase, 0) + f
+        yield from frequent()
+
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), parts // 4)
+    sent = map_rows(docs, texts, "part int, lang string, phrases binary, counts binary", batch=200)
+    dealt = sent.repartition(tasks, "part").sortWithinPartitions("part", "lang")
+    return map_rows(dealt, add, "lang string, phrase string, k int, f long", batch=20_000)
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30) -> DataFrame:
@@ -321,13 +373,12 @@ def frequent_phrases(docs: DataFrame, least: int = 30) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     words = max(1, size // 6)
     n_bits = min(MAX_BITS, max(MIN_BITS, 1 << (words - 1).bit_length()))
-    ranges = min(n_bits // 64, 1 << (2 * words // RANGE_ENTRIES).bit_length())
+    ranges = max(2, min(n_bits // 64, 1 << (2 * words // RANGE_ENTRIES).bit_length()))
     spark = docs.sparkSession
     short = spark.sparkContext.broadcast(passed(fingerprint_counts(docs, (1, 2), ranges), ranges, n_bits, least))
     both = passed(fingerprint_counts(docs, (3, 4), ranges, short), ranges, n_bits, least) | short.value
     every = spark.sparkContext.broadcast(both)
-    exact = phrase_counts(docs, every).groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f"))
-    found = materialize(exact.where((F.col("f") >= least) | (F.col("k") == 0)), "phrases")
+    found = materialize(phrase_counts(docs, every, least, max(1, size // PART_BYTES)), "phrases")
     short.destroy()
     every.destroy()
     return found
