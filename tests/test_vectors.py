@@ -121,10 +121,11 @@ def blobs():
     return x, [c for c in classes for _ in range(20)], classes
 
 
-def test_gradient_descent_equals_plain_descent(spark, blobs):
+@pytest.mark.parametrize("solver", ["gd", "gd_tasks", "gd_steps"])
+def test_gradient_descent_equals_plain_descent(spark, blobs, solver):
     x, y, classes = blobs
     labels, features = long_form(spark, x, y)
-    model = linear.fit(labels, features, 5, classes, n_iterations=6)
+    model = linear.fit(labels, features, 5, classes, n_iterations=6, solver=solver)
     want, bias = reference_fit(x, y, classes, 6)
     got = {(r["category"], r["idx"]): r["weight"] for r in model.weights.collect()}
     for c, name in enumerate(classes):
@@ -162,8 +163,37 @@ def test_both_descents_give_the_same_model(spark, blobs):
         assert len(a) and a == pytest.approx(b)
 
 
+@pytest.mark.parametrize("entries", [4_000_000, 1])
+def test_models_trained_together_equal_models_trained_alone(spark, blobs, monkeypatch, entries):
+    monkeypatch.setattr(linear, "MAX_TASK_ENTRIES", entries)
+    x, y, classes = blobs
+    y = [*y[:-1], "unknown"]
+    sparse = np.where(np.abs(x) > 1.5, x, 0)[:, :3]
+    sparse[4] = 0
+    labels, dense = long_form(spark, x, y)
+    features = long_form(spark, sparse, y)[1].where("value <> 0")
+    problems = {"dense": linear.Problem(dense, 5), "sparse": linear.Problem(features, 4), "none": linear.Problem(features.limit(0), 2)}
+    models = linear.fit_many(labels, problems, classes, n_iterations=101 if entries > 1 else 3)
+    steps = 101 if entries > 1 else 3
+    for name, data in (("dense", x), ("sparse", np.hstack([sparse, np.zeros((60, 1))])), ("none", np.zeros((60, 2)))):
+        want, bias = reference_fit(data, y, classes, steps)
+        got = {(r["category"], r["idx"]): r["weight"] for r in models[name].weights.collect()}
+        assert len(got) == want.size
+        assert [got[c, j] for c in classes for j in range(data.shape[1])] == pytest.approx(list(want.ravel()), abs=1e-9)
+        assert {r["category"]: r["bias"] for r in models[name].bias.collect()} == pytest.approx(dict(zip(classes, bias)), abs=1e-9)
+        seen = sorted((r["category"], r["iteration"]) for r in models[name].losses.collect())
+        assert seen == [(c, i) for c in classes for i in ([1, 100] if entries > 1 else [1])]
+
+
+def test_nothing_to_train_on(spark, blobs):
+    labels, features = long_form(spark, *blobs[:2])
+    with pytest.raises(ValueError, match="empty"):
+        linear.fit(labels.limit(0), features, 5, blobs[2])
+
+
 def test_too_many_weights_for_one_step_are_refused(spark, blobs, monkeypatch):
     x, y, classes = blobs
+    monkeypatch.setattr(linear, "MAX_TASK_ENTRIES", 1)
     monkeypatch.setattr(linear, "MAX_DRIVER_WEIGHTS", 1)
     with pytest.raises(ValueError, match="gd_tables"):
         linear.fit(*long_form(spark, x, y), 5, classes, n_iterations=1)
