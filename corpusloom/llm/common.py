@@ -54,7 +54,8 @@ def map_rows(df: DataFrame, fn: Callable[[Iterable[tuple]], Iterator[tuple]], sc
     def run(batches):
         def rows():
             for b in batches:
-                yield from zip(*(b.column(n).to_pylist() for n in names))
+                for i in range(0, b.num_rows, 1000):  # long texts are Python objects only a few at a time
+                    yield from zip(*(b.column(n).slice(i, 1000).to_pylist() for n in names))
 
         kept: list[tuple] = []
         for row in fn(rows()):

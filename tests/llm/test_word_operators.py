@@ -161,9 +161,10 @@ def plain_score(ids, symbols, model):
         start = p // model.scored * model.scored - model.context
         places = range(max(0, start), p + 1)
         w = {k: v.astype(np.float64) for k, v in model.w.items()}
-        a = np.array([w["query"][s[p]] @ w["key"][s[j]] + w["distance"][p - j] for j in places])
+        d = model.width
+        a = np.array([w["asks"][s[p], d:] @ w["gives"][s[j], :d] + w["distance"][p - j] for j in places])
         a = np.exp(a - a.max())
-        h = w["own"][s[p]] + sum(x * w["value"][s[j]] for x, j in zip(a / a.sum(), places))
+        h = w["asks"][s[p], :d] + sum(x * w["gives"][s[j], d:] for x, j in zip(a / a.sum(), places))
         z = h @ w["group"] + w["group_bias"]
         t, own = s[p + 1], model.inner * model.members
         g = t // model.members if t < own else model.inner + t - own
