@@ -1,22 +1,21 @@
-"""Exact n-gram Jaccard join: prefix filter in blocks of columns, and comparison with pivots.
+"""Exact n-gram Jaccard join by a blocked sparse product with size-derived bounds.
 
 A document's row of the incidence matrix is its set of distinct shingles (five words, ASCII
-case folded; a shorter text is one shingle). Rows with equal sets are taken together first. By the
-size-derived bound, documents with a Jaccard of 3/4 share a shingle among the rarest
-``n - ceil(3n/4) + 1`` of each, in any common order; rarity comes from a counting sketch of fixed size over all
-shingles (a coarse count only costs speed). The smaller of two even has one among its rarest
-``n - ceil(6n/7) + 1``, its inner ones, and of two equal sizes both have. Only these entries are
-used: they are dealt into blocks of columns, and each block yields the rows that meet in its columns. Overlaps aren't
-accumulated over the columns; the overlap of a pair is taken from both texts.
-
-Pairs of a group that already hang together needn't be compared. So each column first pairs its
-rows with one pivot, the row that meets others in most columns (the original of a group of altered
-copies has no shingles of its own); pairs whose sizes rule out the threshold are discarded, the others' full
-overlap is counted, in row blocks against the pivot's row. Components of the links found shrink the
-columns: only pairs across components are left. While these are many, further rounds take several random
-pivots, inner entries of linked rows first, as these fit most of a column and hang together; then all that is
-left is compared. Entries that no other of their column fits by the size bounds go, and columns with the same
-rows count as one. No link between different texts is lost.
+case folded; a shorter text is one shingle). Rows with equal sets are taken together first. Only a row's prefix
+takes part in the product: its rarest ``n - ceil(3n/4) + 1`` shingles; rarity comes from a counting sketch of
+fixed size over all shingles (a coarse count only costs speed). The entries are dealt into blocks of columns, and
+columns with one row go.
+
+The product adds up, over the columns, how many two rows share. Behind the prefixes they can share no more
+than the rest, and a link asks for ``ceil(3(|a|+|b|)/7)`` shingles: pairs whose sum is below the difference
+are discarded, and so are pairs that can't link by their sizes. What is left is compared by the whole texts.
+
+Copies of one text aren't expanded into all pairs. First each column is multiplied with one row only, the one
+that is in most columns; a row is compared with its best such pivot, and components are formed. Then the
+product runs over all pairs of different components. There a column of many rows is cut into row blocks, and
+tasks hand on sums of packed pairs. Rows that share rare shingles without linking all meet in this step: in
+each such column it counts the square of its rows, in pieces of at most ``ROW_BLOCK`` by ``ROW_BLOCK``. No
+link between different texts is lost.
 
 Texts that are null or without words have an empty set and link with nothing. Repeated rows
 and documents with equal sets share a component. Rows that repeat an id with another text are
@@ -29,22 +28,23 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import ASCII_LOWER, components, gram_hashes, map_rows, mixed, texts_of
 from corpusloom.llm.postings import BLOCK, Chunks, each_block, runs_of, signed, word_hashes
-from corpusloom.plans.lineage import materialize
+from corpusloom.plans.lineage import lookup_side, materialize
 
 SHINGLE = 5
 #: Counters of the rarity sketch, and the parts in which tasks ship it. Its size doesn't follow the data.
 SKETCH_BITS, SKETCH_PARTS = 22, 64
-#: Pivot rounds before the rest is compared, and the pairs per document below which it is compared at once.
-ROUNDS, FEW = 4, 2
-#: Random pivots of a column in a round after the first.
-PIVOTS = 8
+#: Pairs a row above which rows are compared with their best partners before all others. Changes the work only.
+FEW = 4
 #: Rows compared with one copy of a pivot.
 PIVOT_ROWS = 1000
+#: Rows of a column that meet in one piece of work, entries of a block of work, pairs that a task adds up at once.
+ROW_BLOCK, CELL_ENTRIES, PAIR_FLUSH = 2000, 200_000, 4_000_000
 
 
 def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
@@ -109,16 +109,14 @@ def slot(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def rare_prefix(grams: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rarest shingles of a set, as many as the size bounds ask for: inner ones, and the others."""
+def rare_prefix(grams: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """The rarest shingles of a set, as many as the size bounds ask for."""
     n = len(grams)
-    order = np.lexsort((grams, sketch[slot(grams)]))
-    inner, outer = n - -(-6 * n // 7) + 1, n - -(-3 * n // 4) + 1
-    return grams[order[:inner]], grams[order[inner:outer]]
+    return grams[np.lexsort((grams, sketch[slot(grams)]))[: n - -(-3 * n // 4) + 1]]
 
 
 def meeting_rows(docs: DataFrame, sketch: np.ndarray, blocks: int) -> DataFrame:
-    """Columns with more than one row, and an inner one: (gram, set_id, size, inner), stored."""
+    """Columns of the prefixes with more than one row: (gram, set_id, size), stored."""
     sent = docs.sparkSession.sparkContext.broadcast(sketch)  # of fixed size
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
@@ -126,30 +124,142 @@ def meeting_rows(docs: DataFrame, sketch: np.ndarray, blocks: int) -> DataFrame:
         for (text,) in rows:
             grams = shingle_set(text)
             if len(grams):
-                for inner, part in zip((1, 0), rare_prefix(grams, sent.value)):
-                    yield from chunks.add(part, set_id(grams), 2 * len(grams) + inner)
+                yield from chunks.add(rare_prefix(grams, sent.value), set_id(grams), len(grams))
         yield from chunks.flush()
 
     def meet(keys: np.ndarray, owners: np.ndarray, sizes: np.ndarray) -> Iterator[tuple]:
         once = np.r_[True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])]
         keys, owners, sizes = keys[once], owners[once], sizes[once]
-        starts, n = runs_of(keys)
-        if len(starts):
-            # An outer entry fits only smaller inner ones.
-            inner = (sizes & 1) == 1
-            low = np.minimum.reduceat(np.where(inner, sizes >> 1, np.uint32(2**31)), starts)
-            fit = inner | (sizes >> 1 > np.repeat(low, n))
-            keys, owners, sizes = keys[fit], owners[fit], sizes[fit]
-            several = np.repeat(n > 1, n) if len(n := runs_of(keys)[1]) else np.empty(0, bool)
-            keys, owners, sizes = keys[several], owners[several], sizes[several]
-            yield from zip(keys.view(np.int64).tolist(), owners.tolist(), (sizes >> 1).tolist(), ((sizes & 1) == 1).tolist())
+        n = runs_of(keys)[1]
+        several = np.repeat(n > 1, n)
+        yield from zip(keys[several].view(np.int64).tolist(), owners[several].tolist(), sizes[several].tolist())
 
     chunks = map_rows(docs.select("text"), run, "block int, data binary", batch=8)
-    return materialize(each_block(chunks, blocks, meet, "gram long, set_id long, size long, inner boolean"), "columns")
+    found = materialize(each_block(chunks, blocks, meet, "gram long, set_id long, size long"), "columns")
+    sent.destroy()
+    return found
+
+
+def need(a: F.Column, b: F.Column) -> F.Column:
+    """Columns of their prefixes that rows of these sizes must share to link.
+
+    Of the two, the row whose prefix ends at the more frequent shingle has all it shares with the other's prefix
+    in its own; behind the other's prefix they share no more than its rest.
+    """
+    return F.ceil((a + b) * 3 / 7) - F.ceil(F.greatest(a, b) * 3 / 4) + 1
+
+
+def pivot_overlaps(columns: DataFrame) -> DataFrame:
+    """(pivot, other, shared) of rows with the row of their columns that is in most columns.
+
+    The number of shared columns is added up; pairs that can't link by their sizes and this number go.
+    """
+    degree = columns.groupBy("set_id").agg(F.count("*").alias("degree"))
+    heads = columns.join(degree, "set_id").groupBy("gram").agg(F.max(F.struct("degree", "set_id", "size")).alias("p"))
+    met = columns.join(heads.select("gram", F.col("p.set_id").alias("pivot"), F.col("p.size").alias("p_size")), "gram")
+    met = met.where("pivot != set_id and 4 * size >= 3 * p_size and 4 * p_size >= 3 * size")
+    counted = met.groupBy("pivot", F.col("set_id").alias("other"), "size", "p_size").agg(F.count("*").alias("shared"))
+    return counted.where(F.col("shared") >= need(F.col("size"), F.col("p_size"))).select("pivot", "other", "shared")
+
+
+def overlaps(columns: DataFrame) -> DataFrame:
+    """(pivot, other, shared) of all pairs of ``columns(gram, set_id, size, component)`` that may link.
+
+    A pair is of different components. Columns are dealt into blocks of work; a column of many
+    rows comes as pairs of row blocks. Tasks add up the shared columns of each pair of rows over their
+    columns and hand these sums on packed, in ranges of pairs, where they are added; pairs below what
+    their sizes ask for are discarded.
+    """
+    several = columns.groupBy("gram").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
+    several = several.where("x != y").select("gram", F.ceil(F.col("n") / ROW_BLOCK).cast("int").alias("parts"))
+    cells = columns.join(several, "gram").withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int"))
+    cells = cells.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = cells.select("gram", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "set_id", "size", "component")
+    cells = materialize(cells, "cells")
+    blocks = max(1, cells.count() // CELL_ENTRIES)
+    spark = columns.sparkSession
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks)
+
+    def multiply(rows: Iterable[tuple]) -> Iterator[tuple]:
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def summed() -> Iterator[tuple]:
+            a, b, asked = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            if not len(a):
+                return
+            order = np.lexsort((b, a))
+            a, b, asked = a[order], b[order], asked[order]
+            first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            n = np.diff(np.r_[first, len(a)]).astype(np.uint32)
+            a, b, asked = a[first], b[first], asked[first]
+            part = (mixed(mixed(a.view(np.uint64)) + b.view(np.uint64)) % np.uint64(ranges)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            ends = np.append(np.flatnonzero(np.diff(part[order])) + 1, len(order))
+            start = 0
+            for end in ends.tolist():
+                own = order[start:end]
+                yield int(part[own[0]]), a[own].tobytes(), b[own].tobytes(), asked[own].tobytes(), n[own].tobytes()
+                start = end
+
+        def cell(rows: list[tuple]) -> tuple[np.ndarray, ...] | None:
+            i, j = rows[0][1:3]
+            part, ids, sizes, component = (np.array(x, np.int64) for x in zip(*(r[3:] for r in rows)))
+            if i == j:
+                x, y = np.triu_indices(len(ids), 1)
+            else:
+                x, y = (v.ravel() for v in np.meshgrid(np.flatnonzero(part == i), np.flatnonzero(part == j), indexing="ij"))
+            small, large = np.minimum(sizes[x], sizes[y]), np.maximum(sizes[x], sizes[y])
+            fits = (component[x] != component[y]) & (4 * small >= 3 * large)
+            x, y, small, large = x[fits], y[fits], small[fits], large[fits]
+            asked = -(-3 * (small + large) // 7) - -(-3 * large // 4) + 1
+            return np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y]), asked.astype(np.int32)
+
+        here: list[tuple] = []
+        for row in rows:
+            if here and row[:3] != here[0][:3]:
+                held.append(cell(here))
+                size += len(held[-1][0])
+                here = []
+                if size >= PAIR_FLUSH:
+                    yield from summed()
+                    size = 0
+            here.append(row)
+        if here:
+            held.append(cell(here))
+        if held:
+            yield from summed()
+
+    def add(rows: Iterable[tuple]) -> Iterator[tuple]:
+        now, parts = None, []
+
+        def enough() -> Iterator[tuple]:
+            a, b, asked, n = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((b, a))
+            a, b, asked, n = a[order], b[order], asked[order], n[order]
+            first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            total = np.add.reduceat(n.astype(np.int64), first)
+            kept = total >= asked[first]
+            yield from zip(a[first][kept].tolist(), b[first][kept].tolist(), total[kept].tolist())
+
+        for r, a, b, asked, n in rows:
+            if r != now and parts:
+                yield from enough()
+                parts = []
+            now = r
+            parts.append((np.frombuffer(a, np.int64), np.frombuffer(b, np.int64), np.frombuffer(asked, np.int32), np.frombuffer(n, np.uint32)))
+        if parts:
+            yield from enough()
+
+    work = cells.repartition(blocks, "gram", "i", "j").sortWithinPartitions("gram", "i", "j")
+    sums = map_rows(work, multiply, "part int, a binary, b binary, asked binary, n binary", batch=50)
+    dealt = sums.repartition(ranges, "part").sortWithinPartitions("part")
+    return map_rows(dealt, add, "pivot long, other long, shared long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of ``pairs(pivot, other)`` that link, as (a, b).
+    """Those of ``pairs(pivot, other)`` that link, as (a, b), by the overlap of both texts.
 
     The pivot's row goes to each of its row blocks, ahead of the rows it is compared with.
     """
@@ -175,12 +285,22 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_rows(rows.select("pivot", "salt", "place", "set_id", "text"), run, "a long, b long")
 
 
-def distinct_columns(rows: DataFrame) -> DataFrame:
-    """One of each set of columns that hold the same rows."""
-    name = F.xxhash64("set_id", "inner")
-    of = rows.groupBy("gram").agg(F.count("*").alias("n"), F.sum(name.cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("inner", "set_id")).alias("x"))
-    one = of.groupBy("n", "s", "x").agg(F.min("gram").alias("gram")).select("gram")
-    return rows.join(one, "gram", "left_semi")
+def best_partners(pairs: DataFrame) -> DataFrame:
+    """Each row's pair with the partner of most shared columns."""
+    return materialize(pairs.groupBy("other").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("pivot")), "chosen")
+
+
+def compared(pairs: DataFrame, first: DataFrame, docs: DataFrame) -> DataFrame:
+    """The links among ``pairs(pivot, other)``, stored; only texts of their rows are moved."""
+    ends = pairs.select(F.col("pivot").alias("set_id")).union(pairs.select("other")).distinct()
+    wanted = lookup_side(materialize(ends.join(first, "set_id"), "wanted"), row_bytes=32)
+    texts = texts_of(docs, wanted, "set_id", "long", lambda text: set_id(shingle_set(text))).select("set_id", "text")
+    return materialize(verified(pairs, materialize(texts, "texts")), "links")
+
+
+def labels(links: DataFrame) -> DataFrame:
+    """(node, component) of all rows with a link, stored."""
+    return materialize(components(links), "labels")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -193,64 +313,25 @@ def classes(docs: DataFrame) -> DataFrame:
     sets, sketch = document_sets(docs)
     # A quarter of the shingles is dealt into blocks.
     entries = sets.agg(F.sum("size")).first()[0] or 0
-    blocks = max(1, entries // 4 // BLOCK)
-    columns = meeting_rows(docs, sketch, blocks)
+    columns = meeting_rows(docs, sketch, max(1, entries // 4 // BLOCK))
     first = sets.where("size > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    wanted = columns.select("set_id").distinct().join(first, "set_id")
-    found = texts_of(docs, wanted, "set_id", "long", lambda text: set_id(shingle_set(text)))
-    texts = materialize(found.select("set_id", "text"), "texts")
-    n_sets = wanted.count()
-    degree = columns.groupBy("set_id").agg(F.count("*").alias("degree"))
-    left = distinct_columns(columns).join(degree, "set_id").withColumns({"component": F.col("set_id"), "linked": F.lit(False)})
-    left = materialize(left, "columns")
-    label = None
-    for turn in range(ROUNDS + 1):
-        # Pairs across components with an inner entry: all of them without those of two outer ones.
-        n, outer = F.col("n"), F.col("outer")
-        counts = left.groupBy("gram", "component").agg(F.count("*").alias("n"), F.sum((~F.col("inner")).cast("long")).alias("outer"))
-        counts = counts.groupBy("gram").agg((F.sum("n") ** 2 - F.sum(n * n) - F.sum("outer") ** 2 + F.sum(outer * outer)).alias("pairs"))
-        cross = (counts.agg(F.sum("pairs")).first()[0] or 0) / 2
-        if not cross:
-            break
-        last = turn == ROUNDS or cross <= FEW * n_sets
-        names = ("set_id", "size", "inner", "component")
-        if last:
-            heads = left.select("gram", *[F.col(c).alias(f"p_{c}") for c in names])
-        else:
-            value = F.struct(*names)
-            if turn:
-                best = [F.min_by(value, F.struct(~F.col("inner"), ~F.col("linked"), F.xxhash64("set_id", F.lit(PIVOTS * turn + i)))) for i in range(PIVOTS)]
-            else:
-                best = [F.max_by(value, F.struct("degree", "set_id"))]
-            heads = left.groupBy("gram").agg(F.array_distinct(F.array(*best)).alias("p")).select("gram", F.explode("p").alias("p"))
-            heads = heads.select("gram", *[F.col(f"p.{c}").alias(f"p_{c}") for c in names])
-        size, p_size = F.col("size"), F.col("p_size")
-        fits = F.when(size < p_size, F.col("inner") & (4 * size >= 3 * p_size))
-        fits = fits.when(size > p_size, F.col("p_inner") & (4 * p_size >= 3 * size)).otherwise(F.col("inner") & F.col("p_inner"))
-        met = left.join(heads, "gram").where((F.col("component") != F.col("p_component")) & fits)
-        if last:
-            met = met.where("p_set_id < set_id")
-        pairs = materialize(met.select(F.col("p_set_id").alias("pivot"), F.col("set_id").alias("other")).distinct(), "pairs")
-        found = verified(pairs, texts)
-        # The stars of the known components stand for their links.
-        edges = found if label is None else found.unionByName(label.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        label = materialize(components(edges), "labels")
-        if last:
-            break
-        # A pivot has met all rows of its columns.
-        rest = left.join(heads.select("gram", F.col("p_set_id").alias("set_id")), ["gram", "set_id"], "left_anti").drop("component", "linked")
-        named = rest.join(label, rest.set_id == label.node, "left")
-        named = named.withColumns({"linked": F.col("node").isNotNull(), "component": F.coalesce("component", "set_id")}).drop("node")
-        several = named.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min(F.when(F.col("inner"), F.col("size"))).alias("low"))
-        fitting = named.join(several.where("x != y and low is not null").select("gram", "low"), "gram").where("inner or size > low").drop("low")
-        left = materialize(distinct_columns(fitting), "columns")
-        if not turn:
-            # Most rows are done after the first round; later ones shuffle only the others' texts.
-            texts = materialize(texts.join(left.select("set_id").distinct(), "set_id", "left_semi"), "texts")
-    if label is None:
-        named = first.select("set_id", F.col("set_id").alias("component"), "doc_id")
-    else:
-        named = first.join(label, first.set_id == label.node, "left").select("set_id", F.coalesce("component", "set_id").alias("component"), "doc_id")
+    # A row hangs together with its best pivot, if with any: one text a row.
+    links = compared(best_partners(pivot_overlaps(columns)), first, docs)
+    label = labels(links)
+    component = F.coalesce("component", "set_id").alias("component")
+    columns = columns.join(label, columns.set_id == label.node, "left").select("gram", "set_id", "size", component)
+    # What that doesn't show: all other pairs, across components.
+    pairs = materialize(overlaps(columns), "pairs")
+    if pairs.count() > FEW * pairs.select("other").distinct().count():
+        links = links.unionByName(compared(best_partners(pairs), first, docs))
+        label = labels(links)
+        of = label.select(F.col("node").alias("pivot"), F.col("component").alias("x"))
+        left = pairs.join(of, "pivot", "left").join(label.select(F.col("node").alias("other"), F.col("component").alias("y")), "other", "left")
+        pairs = materialize(left.where(F.coalesce("x", "pivot") != F.coalesce("y", "other")).select("pivot", "other", "shared"), "pairs")
+    if not pairs.isEmpty():
+        links = links.unionByName(compared(pairs.select("pivot", "other"), first, docs))
+        label = labels(links)
+    named = first.join(label, first.set_id == label.node, "left").select("set_id", F.coalesce("component", "set_id").alias("component"), "doc_id")
     lowest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of = named.join(lowest, "component").select("set_id", "component", "component_id")
     empty = F.col("size") == 0
@@ -267,19 +348,25 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = materialize(classes(docs), "classes")
     full = found.where("size > 0")
     id_first = F.struct(F.col("doc_id").isNull(), "doc_id", "set_id")
-    best = full.groupBy("component").agg(F.min(id_first).alias("b")).select(F.col("b.doc_id").alias("_id"), F.col("b.set_id").alias("_set"))
+    best = full.groupBy("component").agg(F.min(id_first).alias("b")).select(F.col("b.doc_id").alias("id"), F.col("b.set_id").alias("set"))
     best = materialize(best, "best")
     times = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-    repeated = materialize(times.where("n > 1").select(F.col("doc_id").alias("_id")), "repeated")
-    kept = best.where("_id is not null").select("_id").union(found.where("size = 0 and doc_id is not null").select("doc_id"))
-    single = docs.join(kept.join(repeated, "_id", "left_anti"), F.col("doc_id") == F.col("_id"), "left_semi")
+    repeated = materialize(times.where("n > 1").select(F.col("doc_id").alias("id")), "repeated")
+    kept = best.where("id is not null").select("id").union(found.where("size = 0 and doc_id is not null").select("doc_id"))
+    # Rows travel as one column, so that no column of theirs meets one of ours.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select("row", F.col("row.doc_id").alias("of"))
+    single = rows.join(kept.join(repeated, "id", "left_anti"), F.col("of") == F.col("id"), "left_semi")
     # Rows whose id doesn't tell them apart are chosen by their set.
-    same = docs.where("doc_id is null")
+    same = rows.where("of is null")
     if not repeated.isEmpty():
-        same = same.unionByName(docs.join(repeated, F.col("doc_id") == F.col("_id"), "left_semi"))
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    set_of = F.udf(lambda text: set_id(shingle_set(text)), "long")
-    same = same.select(row.alias("_row"), F.col("doc_id").alias("_of"), F.col("text").alias("_text"), set_of("text").alias("_own"))
-    chosen = same.where("_own != 0").join(best, F.col("_of").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_set")), "left_semi")
-    chosen = chosen.groupBy("_of", "_own").agg(F.min_by("_row", "_text").alias("_row"))
-    return single.unionByName(chosen.select("_row.*")).unionByName(same.where("_own = 0").select("_row.*"))
+        same = same.unionByName(rows.join(repeated, F.col("of") == F.col("id"), "left_semi"))
+
+    @F.pandas_udf("long")
+    def set_of(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: set_id(shingle_set(text)))
+
+    same = same.withColumns({"text": F.col("row.text"), "own": set_of("row.text")})
+    chosen = same.where("own != 0").join(best, F.col("of").eqNullSafe(F.col("id")) & (F.col("own") == F.col("set")), "left_semi")
+    chosen = chosen.groupBy("of", "own").agg(F.min_by("row", "text").alias("row"))
+    every = single.select("row").unionByName(chosen.select("row")).unionByName(same.where("own = 0").select("row"))
+    return every.select("row.*")

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import fm_index, mixing, ngram_join, pii, substring
 
@@ -121,22 +122,41 @@ def test_ngram_join(docs):
     assert ngram_join.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_ngram_join_rounds(spark):
+@pytest.mark.parametrize(("few", "row_block", "flush"), [(4, 2000, 4_000_000), (0, 3, 20), (0, 7, 1)])
+def test_ngram_join_in_blocks(spark, monkeypatch, few, row_block, flush):
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    monkeypatch.setattr(ngram_join, "ROW_BLOCK", row_block)
+    monkeypatch.setattr(ngram_join, "PAIR_FLUSH", flush)
+    monkeypatch.setattr(ngram_join, "CELL_ENTRIES", 50)
+    monkeypatch.setattr(ngram_join, "PIVOT_ROWS", 3)
     base = [f"b{i}" for i in range(120)]
     rows = []
-    for i in range(40):
+    for i in range(40):  # near copies, some of which don't link with the original
         w = list(base)
-        for _ in range(i % 4):
+        for _ in range(i % 5):
             w[RNG.randrange(120)] = f"n{RNG.randrange(10**6)}"
         rows.append((i, " ".join(w)))
+    for i in range(40, 70):  # a passage in many short texts that don't link
+        rows.append((i, " ".join([f"p{j}" for j in range(30)] + [f"x{i}_{j}" for j in range(4 + i % 9)])))
+    for i in range(70, 90):  # a chain: neighbours link, the ends don't
+        rows.append((i, " ".join(f"c{j}" for j in range(4 * (i - 70), 4 * (i - 70) + 100))))
+    for i in range(90, 100):  # beginnings of one text, of many lengths
+        rows.append((i, " ".join(f"l{j}" for j in range(12 * (i - 88)))))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = classes(docs.collect())
-    for few in (8, 0):
-        ngram_join.FEW = few
-        try:
-            assert sorted(map(tuple, ngram_join.near_duplicates(docs).collect())) == want
-        finally:
-            ngram_join.FEW = 8
+    assert sorted(map(tuple, ngram_join.near_duplicates(docs).collect())) == want
+    assert len({c for d, _, c in want if d < 40}) > 1 and len({c for d, _, c in want if 70 <= d < 90}) == 1
+
+
+def test_keep_one_with_clashing_columns(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(2, text, 1, "a"), (1, text, 2, "b"), (1, text + " more", 3, "c"), (None, "else", 4, "d"), (None, None, 5, "e"), (7, "", 6, "f")]
+    names = "_id id of row own set text_ component size"
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long, mark string")
+    docs = docs.select("doc_id", "text", "n", *[F.col("mark").alias(c) for c in names.split()])
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert {r["n"] for r in kept.collect()} in ({2, 4, 5, 6}, {3, 4, 5, 6})
 
 
 BASE = {
