@@ -90,17 +90,22 @@ def leaf_budgets(leaves: DataFrame, config: MixConfig) -> DataFrame:
     return leaves.join(budgets.select(*LEVELS, whole.alias("budget")), list(LEVELS))
 
 
-def mix(docs: DataFrame, config: MixConfig | None = None, epoch: str = "epoch", size: str = "tokens") -> DataFrame:
-    """Rows of ``docs(doc_id, text, lang, source, ..)`` as often as the mix takes them, with their epoch and tokens."""
+def mix(docs: DataFrame, config: MixConfig | None = None, epoch: str = "epoch", size: str = "tokens", domain: str = "domain") -> DataFrame:
+    """Rows of ``docs(doc_id, text, lang, source, ..)`` as often as the mix takes them, with their epoch, tokens and domain.
+
+    These three columns replace columns of ``docs`` with their names; other names keep those.
+    """
     config = config or MixConfig()
+    # A row travels as one column, so that no column of its meets one of ours.
     named = docs.select(
-        "*",
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("_id"),
         F.coalesce(config.domain.cast("string"), F.lit(NONE)).alias(LEVELS[0]),
         F.coalesce("lang", F.lit(NONE)).alias(LEVELS[1]),
         F.coalesce("source", F.lit(NONE)).alias(LEVELS[2]),
         tokens(F.col("text")).alias("_n"),
     )
-    keys = materialize(named.select(F.col("doc_id").alias("_id"), *LEVELS, "_n"), "mix-keys")
+    keys = materialize(named.select("_id", *LEVELS, "_n"), "mix-keys")
     leaves = keys.groupBy(*LEVELS).agg(F.sum("_n").alias("tokens"))
     plan = leaf_budgets(materialize(leaves, "mix-leaves"), config)
     plan = plan.withColumn("_full", F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(0).cast("int"))
@@ -113,7 +118,7 @@ def mix(docs: DataFrame, config: MixConfig | None = None, epoch: str = "epoch",
     over = sums.withColumn("u", upto).where("u > _rest").groupBy(*LEVELS)
     cut = over.agg(F.min("_range").alias("_cut"), F.min(F.struct("_range", (F.col("u") - F.col("s")).alias("b")))["b"].alias("_before"))
     plan = materialize(plan.join(cut, list(LEVELS), "left"), "mix-cut")
-    rows = named.withColumn("_id", F.col("doc_id")).join(lookup_side(plan, 240), list(LEVELS))
+    rows = named.join(lookup_side(plan, 240), list(LEVELS))
     rows = rows.withColumn("_hash", place).withColumn("_range", F.substring("_hash", 1, 3))
     inside = F.col("_cut").isNull() | (F.col("_range") < F.col("_cut"))
     clear = rows.where(inside | (F.col("_range") > F.col("_cut"))).withColumn("_n_copies", F.col("_full") + inside.cast("int"))
@@ -124,7 +129,8 @@ def mix(docs: DataFrame, config: MixConfig | None = None, epoch: str = "epoch",
     edge = edge.withColumn("_n_copies", F.col("_full") + fits.cast("int"))
     taken = clear.unionByName(edge).where("_n_copies > 0")
     each = F.explode(F.sequence(F.lit(0), F.col("_n_copies") - 1)).alias(epoch)
-    return taken.select(*docs.columns, F.col("_n").alias(size), F.col(LEVELS[0]).alias("_domain"), each).withColumnRenamed("_domain", "domain")
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in (epoch, size, domain)]
+    return taken.select(*own, F.col("_n").alias(size), F.col(LEVELS[0]).alias(domain), each)
 
 
 def mix_sql(domain_sql: str, config: MixConfig, table: str = "documents") -> str:

@@ -61,8 +61,37 @@ VOTES = ("shape", "listed", "context", "quoted", "assigned")
 TRAITS = ("length", "digits", "upper")
 
 
+def bound(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def running(items: Column, start, step, first: Column) -> Column:
+    """States after slices of about the square root of all items; ``start`` makes a slice's first state.
+
+    ``start`` takes the position reached (``first`` at the beginning) and the slice. Within a slice ``step`` may
+    copy what its state has gathered; so the copying isn't quadratic in the items.
+    """
+
+    def over(all_: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(all_))).cast("int")
+        slices = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / width).cast("int")), lambda k: F.slice(all_, k * width + 1, width))
+        empty = F.filter(F.array(start(first, all_)), lambda s: F.lit(False))
+
+        def onward(states: Column, part: Column) -> Column:
+            at = F.coalesce(F.get(states, F.size(states) - 1)["at"], first)
+            return F.concat(states, F.array(F.aggregate(part, start(at, part), step)))
+
+        return F.when(F.size(all_) > 0, F.aggregate(slices, empty, onward)).otherwise(empty)
+
+    return bound(items, over)
+
+
 def matches(text: Column, pattern: str) -> Column:
-    """All matches as array<struct<start, end, found, before>>; ``before`` is the last 40 characters ahead of it."""
+    """All matches as array<struct<start, end, found, before>>.
+
+    ``before`` is what the labelers see as context: the last 40 characters between the match before and this one.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
     none = F.expr("cast(array() as array<struct<start:int,end:int,found:string,before:string>>)")
@@ -75,8 +104,8 @@ def matches(text: Column, pattern: str) -> Column:
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
 
     pairs = F.slice(F.arrays_zip(pieces.alias("pieces"), found.alias("found")), F.lit(1), F.size(found))
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    return F.aggregate(pairs, start, step, lambda s: s["out"])
+    states = running(pairs, lambda at, part: F.struct(at.alias("at"), none.alias("out")), step, F.lit(0))
+    return F.flatten(F.transform(states, lambda s: s["out"]))
 
 
 def luhn(text: Column) -> Column:
@@ -248,24 +277,36 @@ def span_text(spans: Column) -> Column:
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in angle brackets; overlapping spans count as one."""
 
+    def start(at: Column, part: Column) -> Column:
+        upto = F.greatest(at, F.array_max(F.transform(part, lambda s: s["end"])))
+        cut = F.substring(text, at + 1, upto - at)
+        return F.struct(at.alias("at"), at.alias("from"), cut.alias("cut"), F.lit("").alias("out"))
+
     def step(state: Column, s: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
+        gap = F.substring(state["cut"], state["at"] - state["from"] + 1, s["start"] - state["at"])
         new = F.concat(state["out"], gap, F.lit("<"), F.upper(s["kind"]), F.lit(">"))
         return F.struct(
             F.greatest(state["at"], s["end"]).alias("at"),
+            state["from"].alias("from"),
+            state["cut"].alias("cut"),
             F.when(s["start"] >= state["at"], new).otherwise(state["out"]).alias("out"),
         )
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    def whole(states: Column) -> Column:
+        at = F.coalesce(F.get(states, F.size(states) - 1)["at"], F.lit(0))
+        return F.concat(F.array_join(F.transform(states, lambda s: s["out"]), ""), F.substring(text, at + 1, F.length(text)))
+
+    return bound(running(spans, start, step, F.lit(0)), whole)
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with the personal data of its texts replaced; its other columns stay, null texts too."""
     model = fit(with_spans(docs.select("text")))
-    spans = decided(with_spans(docs), model, out="_spans")
-    text = F.when(F.size("_spans") > 0, redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
-    return spans.withColumn("text", text).select(*docs.columns)
+    # A row travels as one column, so that no column of its meets one of ours.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    spans = decided(with_spans(rows), model)
+    text = F.when(F.size("spans") > 0, redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    return spans.select(F.col("row").withField("text", text).alias("row")).select("row.*")
 
 
 def find_spans(docs: DataFrame) -> DataFrame:

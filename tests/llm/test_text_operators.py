@@ -215,3 +215,30 @@ def test_mixing_rows(docs):
     total = sum(len((r.text or "").split()) for r in docs.collect())
     assert total < sum(r.size for r in rows) <= 1.5 * total
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_many_matches_in_one_text(spark):
+    n = 100_000
+    text = " ".join(f"é a{i}@x.org" for i in range(n))
+    docs = spark.createDataFrame([(1, text), (2, "b@c.de and +49 (30) 1234-5678"), (3, None), (4, "")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.find_spans(docs).collect()}
+    assert [(s["start"], s["end"]) for s in got[1]["base"]] == [m.span() for m in re.finditer(r"a[0-9]+@x\.org", text)]
+    assert [(s["kind"], s["start"], s["end"]) for s in got[2]["base"]] == [("email", 0, 6), ("phone", 11, 29)]
+    assert got[3]["base"] == got[4]["base"] == []
+    out = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert out[1] == " ".join(["é <EMAIL>"] * n) and out[2] == "<EMAIL> and <PHONE>" and out[3] is None and out[4] == ""
+
+
+def test_columns_with_clashing_names_stay(spark):
+    names = ["_base", "_more", "_spans", "spans", "row", "tokens", "epoch", "domain", "_n", "_full", "_lang", "_id", "start"]
+    docs = spark.createDataFrame([(i, f"m{i}@x.org word{i}", "en", f"src{i}") for i in range(8)], "doc_id long, text string, lang string, source string")
+    docs = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in names])
+    out = pii.redact(docs)
+    assert out.columns == docs.columns
+    for r in out.collect():
+        assert r["text"] == f"<EMAIL> word{r['doc_id']}" and all(r[c] == f"{c}{r['doc_id']}" for c in names)
+    mixed = mixing.mix(docs, mixing.MixConfig(domain=F.lit("d")), "e2", "t2", "d2")
+    assert mixed.columns == [*docs.columns, "t2", "d2", "e2"]
+    for r in mixed.collect():
+        assert all(r[c] == f"{c}{r['doc_id']}" for c in names) and r["t2"] == 2 and r["d2"] == "d"
+    assert sorted(mixing.mix(docs, mixing.MixConfig(domain=F.lit("d"))).columns) == sorted(docs.columns)
