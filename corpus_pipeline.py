@@ -34,7 +34,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target mix takes them."""
-    return mixing.mix(docs, queries.mix_config()).select(*docs.columns)
+    own = [next(n for n in (f"{c}{'_' * i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns) for c in ("epoch", "tokens", "domain")]
+    return mixing.mix(docs, queries.mix_config(), *own).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
