@@ -187,7 +187,7 @@ def train_models(
     """Language models, naive Bayes, representations and six linear models."""
     classes = [r["category"] for r in bounded_rows(train.select("category").distinct(), 1_000, "classes")]
     classes.sort()
-    lms = language_model.train_orders(train, list(s.orders))
+    lms = language_model.train_orders(train, list(s.orders)) if s.orders else {}
     nb = naive_bayes.fit(train).stored()
     features = fit_features(train, s, glove)
     models = job_lr_all(train, features, classes, s)
