@@ -44,7 +44,7 @@ FEW = 4
 #: Rows compared with one copy of a pivot.
 PIVOT_ROWS = 1000
 #: Rows of a column that meet in one piece of work, entries of a block of work, pairs that a task adds up at once.
-ROW_BLOCK, CELL_ENTRIES, PAIR_FLUSH = 2000, 200_000, 4_000_000
+ROW_BLOCK, CELL_ENTRIES, PAIR_FLUSH = 800, 200_000, 1_000_000
 
 
 def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
@@ -154,7 +154,7 @@ def pivot_overlaps(columns: DataFrame) -> DataFrame:
 
     The number of shared columns is added up; pairs that can't link by their sizes and this number go.
     """
-    degree = columns.groupBy("set_id").agg(F.count("*").alias("degree"))
+    degree = lookup_side(materialize(columns.groupBy("set_id").agg(F.count("*").alias("degree")), "degrees"), row_bytes=32)
     heads = columns.join(degree, "set_id").groupBy("gram").agg(F.max(F.struct("degree", "set_id", "size")).alias("p"))
     met = columns.join(heads.select("gram", F.col("p.set_id").alias("pivot"), F.col("p.size").alias("p_size")), "gram")
     met = met.where("pivot != set_id and 4 * size >= 3 * p_size and 4 * p_size >= 3 * size")
@@ -267,7 +267,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     salt = F.pmod(F.xxhash64("other"), F.col("salts")).cast("int")
     others = pairs.join(n, "pivot").select("pivot", salt.alias("salt"), F.lit(1).alias("place"), F.col("other").alias("set_id"))
     own = n.select("pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("place"), F.col("pivot").alias("set_id"))
-    rows = others.unionByName(own).join(texts, "set_id").repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "place")
+    asked = lookup_side(materialize(others.unionByName(own), "asked"), row_bytes=48)
+    rows = texts.join(asked, "set_id").repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "place")
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
         now, pivot_grams = None, np.empty(0, np.uint64)
@@ -319,7 +320,8 @@ def classes(docs: DataFrame) -> DataFrame:
     links = compared(best_partners(pivot_overlaps(columns)), first, docs)
     label = labels(links)
     component = F.coalesce("component", "set_id").alias("component")
-    columns = columns.join(label, columns.set_id == label.node, "left").select("gram", "set_id", "size", component)
+    known = lookup_side(label, row_bytes=32)
+    columns = columns.join(known, columns.set_id == known.node, "left").select("gram", "set_id", "size", component)
     # What that doesn't show: all other pairs, across components.
     pairs = materialize(overlaps(columns), "pairs")
     if pairs.count() > FEW * pairs.select("other").distinct().count():
