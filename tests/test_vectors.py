@@ -264,3 +264,32 @@ def test_pooling_rejects_other_lengths(spark):
     for dim in (2, 5):
         with pytest.raises(Exception, match="3 components"):
             vectors.pool_mean(docs, table, dim).collect()
+
+
+def test_kmeans_labels_are_nearest_and_inertia_is_their_sum(spark):
+    rng = np.random.RandomState(5)
+    means = 6 * rng.randn(4, 7)
+    x = np.vstack([m + rng.randn(30, 7) for m in means] + [means[0] + 40])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(500, x[3].tolist())]
+    points = spark.createDataFrame(rows, "id bigint, vec array<double>")
+    labels, centers, inertia = cluster.kmeans_fit(points.repartition(3), k=5, n_init=6)
+    c, own = np.array(centers), {r["id"]: r["cluster"] for r in labels.collect()}
+    far = ((np.vstack([x, x[3]])[:, None, :] - c[None]) ** 2).sum(axis=2)
+    assert [own[i] for i, _ in rows] == far.argmin(axis=1).tolist()
+    assert inertia == pytest.approx(far.min(axis=1).sum())
+    assert len(set(own.values())) == 5 and [own[i] for i in own].count(own[120]) == 1  # the far point is a cluster
+    again = cluster.kmeans_fit(points.repartition(1), k=5, n_init=6)
+    assert np.allclose(again[1], centers) and again[2] == pytest.approx(inertia)
+    for j in range(5):  # a centre is the mean of its points, within the tolerance
+        assert np.linalg.norm(np.vstack([x, x[3]])[[own[i] == j for i, _ in rows]].mean(axis=0) - c[j]) < 0.2
+
+
+def test_kmeans_on_few_points(spark):
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(4)], "id bigint, vec array<double>")
+    labels, centers, inertia = cluster.kmeans_fit(same, k=3, n_init=2)
+    assert len(centers) == 3 and inertia == 0 and {r["cluster"] for r in labels.collect()} == {0}
+    with pytest.raises(ValueError, match="no points"):
+        cluster.kmeans_fit(same.limit(0), k=2, n_init=1)
+    mixed = same.unionByName(spark.createDataFrame([(9, [1.0])], same.schema))
+    with pytest.raises(ValueError, match="several lengths"):
+        cluster.kmeans_fit(mixed, k=2, n_init=1)
