@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -16,17 +18,21 @@ class BoundExceeded(ValueError):
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster a
+    Where that is unset, a session in one process has a folder of its own; on a cluster a
     machine-local path would be lost together with its executor.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    named = tempfile.mkdtemp(prefix="corpusloom-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return _own_dir()
+
+
+@cache
+def _own_dir() -> str:
+    """The folder of a process whose session names none."""
+    return tempfile.mkdtemp(prefix="corpusloom-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.catalog import oracle_sql, queries
 from corpusloom.operators import linear
@@ -99,7 +100,7 @@ def test_linear_bundle(spark, tmp_path):
     path = str(tmp_path / "bundle")
     models.save_linear_bundle({"one": model(1.0), "two": model(2.0)}, "two", path)
     one, default = models.load_linear(spark, path, "one"), models.load_linear(spark, path)
-    assert one.classes == ["b", "a"] and one.params["l2"] == "0.1"
+    assert one.classes == ["b", "a"] and one.params["l2"] == 0.1
     assert {r["weight"] for r in one.weights.collect()} == {1.0, -1.0}
     assert {r["weight"] for r in default.weights.collect()} == {2.0, -2.0}
     assert {r["weight"] for r in models.load_linear(spark, path, "gone").weights.collect()} == {2.0, -2.0}
@@ -119,3 +120,40 @@ def test_type_suffixes_are_no_numbers(spark):
     lines = spark.createDataFrame([(1, "a 1d 2f"), (2, "a 1e1 -.5"), (3, "b 0x1 2")], "line_no long, value string")
     vocab = spark.createDataFrame([("a",), ("b",)], "term string")
     assert [tuple(r) for r in parse_word_vectors(lines, vocab).collect()] == [("a", [10.0, -0.5])]
+
+
+def test_half_written_and_changed_models_are_refused(spark, tmp_path):
+    path, table = str(tmp_path / "v"), spark.createDataFrame([("a", [1.0]), ("b", [2.0])], "word string, vec array<double>")
+    models.save_vectors(table, path)
+    models.check_model(spark, path)
+    assert models.load_vectors(spark, path).count() == 2
+    spark.createDataFrame([("a", [1.0]), ("b", [2.5])], table.schema).write.mode("overwrite").parquet(f"{path}/vectors")
+    with pytest.raises(models.BrokenModel, match="vectors"):
+        models.check_model(spark, path)
+    table.limit(1).write.mode("overwrite").parquet(f"{path}/vectors")
+    with pytest.raises(models.BrokenModel):  # the number of rows is compared at each load
+        models.load_vectors(spark, path)
+    failing = table.withColumn("vec", F.when(F.col("word") == "b", F.raise_error(F.lit("lost"))).otherwise(F.col("vec")))
+    with pytest.raises(Exception, match="lost"):
+        models.save_vectors(failing, path)
+    with pytest.raises((models.BrokenModel, FileNotFoundError)):
+        models.load_vectors(spark, path)
+    models.save_vectors(table, path)
+    assert models.load_vectors(spark, path).count() == 2
+    with pytest.raises(FileNotFoundError):
+        models.load_vectors(spark, str(tmp_path / "none"))
+
+
+@pytest.mark.parametrize(("master", "own"), [("local[4]", True), ("local", True), ("local-cluster[2,1,1024]", False), ("yarn", False)])
+def test_only_one_process_may_do_without_a_shared_folder(master, own):
+    class Conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class Session:
+        conf, sparkContext = Conf, type("Context", (), {"master": master})
+
+    if own:
+        assert lineage.shared_dir(Session) == lineage.shared_dir(Session)
+    else:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            lineage.shared_dir(Session)
