@@ -104,6 +104,12 @@ def components(found: DataFrame) -> DataFrame:
     )
 
 
+def weighted_sum(vec):
+    """One number that every component of a vector changes: the sum of i times component i, from 1."""
+    products = F.transform(vec, lambda x, i: x.cast("double") * (i + 1))
+    return F.aggregate(products, F.lit(0.0), lambda a, x: a + x)
+
+
 def r6(column, name: str):
     """Six decimals, for comparison."""
     return F.round(column, 6).alias(name)

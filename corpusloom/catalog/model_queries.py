@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.catalog import inputs as I
 from corpusloom.catalog import sql as S
 from corpusloom.operators import counts, language_model as lm, naive_bayes as nb, split, tfidf
-from corpusloom.plans.lineage import materialize
+from corpusloom.plans.lineage import materialize, scratch_path
+from corpusloom.sources import models
 
 
 def stratified_split(spark, sf):
@@ -216,6 +221,32 @@ def tfidf_transform(spark, sf):
     return tfidf.transform(test, model).select("doc_id", "term", "idx", I.r6(F.col("value"), "value"))
 
 
+def load_model(spark, sf):
+    """Save models of all six kinds, check them against their manifests, load them and sum up what came back."""
+    train, test = I.split_tokens(spark, sf)
+    path = scratch_path(spark, "saved-models")
+    fitted = tfidf.fit(train, 1, 2, 2, 8000)
+    linear = I.hash_model(fitted.vocab)
+    models.save_naive_bayes(nb.fit(train), f"{path}/naive_bayes")
+    models.save_tfidf(fitted, f"{path}/tfidf")
+    models.save_language_model(lm.train(train.unionByName(test), 2), f"{path}/language_model")
+    models.save_vectors(I.word_vectors(spark, sf, train.unionByName(test)), f"{path}/vectors")
+    models.save_idf(*counts.idf_table(train.unionByName(test)), f"{path}/idf")
+    models.save_linear_bundle({"one": replace(linear, weights=linear.weights.drop("term"))}, "one", f"{path}/linear")
+    for kind in ("naive_bayes", "tfidf", "language_model", "vectors", "idf", "linear"):
+        models.check_model(spark, f"{path}/{kind}")
+    loaded = {
+        "naive_bayes": (models.load_naive_bayes(spark, f"{path}/naive_bayes").words, F.aggregate("by_class", F.lit(0).cast("bigint"), lambda s, c: s + c["cnt"])),
+        "tfidf": (models.load_tfidf(spark, f"{path}/tfidf").vocab, F.col("df")),
+        "language_model": (models.load_language_model(spark, f"{path}/language_model").ngrams, F.col("cnt")),
+        "vectors": (models.load_vectors(spark, f"{path}/vectors"), F.size("vec")),
+        "idf": (models.load_idf(spark, f"{path}/idf")[0], F.col("df")),
+        "linear": (models.load_linear(spark, f"{path}/linear").weights, F.col("idx")),
+    }
+    rows = [t.agg(F.lit(k).alias("kind"), F.count("*").alias("n_rows"), F.sum(x).cast("bigint").alias("total")) for k, (t, x) in loaded.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -223,13 +254,13 @@ QUERIES = {
         active_terms, document_frequency, idf, idf_lookup, lm_train, lm_vocab_size, lm_probability,
         lm_log_likelihood, lm_sequence_probability, lm_perplexity, predict_next_words, predict_next_words_mle,
         nb_priors, nb_word_likelihood, class_word_grid, nb_log_scores, nb_predict_proba, nb_predict, predict_argmax,
-        nb_fit_counts, tfidf_fit, max_features_cap, tfidf_transform,
+        nb_fit_counts, tfidf_fit, max_features_cap, tfidf_transform, load_model,
     )
 }
 
 _BIGRAM_TFIDF = S.tfidf(1, 2, 2, 8000)
-_TRAIN_TF = "train_tf AS (SELECT tf.* FROM tf JOIN split USING (doc_id) WHERE split = 'train')"
-_TEST_TF = "test_tf AS (SELECT tf.* FROM tf JOIN split USING (doc_id) WHERE split = 'test')"
+_TRAIN_TF = "train_tf AS MATERIALIZED (SELECT tf.* FROM tf JOIN split USING (doc_id) WHERE split = 'train')"
+_TEST_TF = "test_tf AS MATERIALIZED (SELECT tf.* FROM tf JOIN split USING (doc_id) WHERE split = 'test')"
 _N_TRAIN = "(SELECT count(*) FROM split WHERE split = 'train')"
 _LL = (
     *S.LM,
@@ -252,7 +283,7 @@ SQL = {
     "bow_fit": S.query("vocab", "SELECT term, idx FROM vocab"),
     "bow_transform": S.query(
         "tf split", "SELECT doc_id, term, idx, cnt FROM test_tf JOIN v USING (term)", _TEST_TF, _TRAIN_TF,
-        "v AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM (SELECT DISTINCT term FROM train_tf))",
+        "v AS MATERIALIZED (SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM (SELECT DISTINCT term FROM train_tf))",
     ),
     "vocab_lookup": S.query(
         "tf", "SELECT doc_id, idx, cnt FROM tf JOIN v USING (term)",
@@ -281,7 +312,7 @@ SQL = {
         "tf split",
         f"SELECT doc_id, term, {S.r6(f'coalesce(idf, ln({_N_TRAIN} + 1.0::DOUBLE) + 1)')} AS idf FROM test_tf LEFT JOIN i USING (term)",
         _TRAIN_TF, _TEST_TF,
-        f"i AS (SELECT term, ln(({_N_TRAIN} + 1.0::DOUBLE) / (count(*) + 1)) + 1 AS idf FROM train_tf GROUP BY term)",
+        f"i AS MATERIALIZED (SELECT term, ln(({_N_TRAIN} + 1.0::DOUBLE) / (count(*) + 1)) + 1 AS idf FROM train_tf GROUP BY term)",
     ),
     "lm_train": S.query(
         "tok",
@@ -342,4 +373,13 @@ SQL = {
     "tfidf_transform": S.query(
         "tok split", f"SELECT doc_id, term, idx, {S.r6('value')} AS value FROM feats JOIN split USING (doc_id) WHERE split = 'test'", *_BIGRAM_TFIDF
     ),
+    "load_model": S.query(
+        "tok tf split vectors",
+        "SELECT 'naive_bayes' AS kind, count(DISTINCT term) AS n_rows, sum(cnt)::BIGINT AS total FROM tf JOIN split USING (doc_id) WHERE split = 'train' "
+        "UNION ALL SELECT 'tfidf', count(*), sum(df)::BIGINT FROM fitted UNION ALL SELECT 'language_model', count(*), sum(cnt)::BIGINT FROM lm "
+        "UNION ALL SELECT 'vectors', count(*), sum(len(vec))::BIGINT FROM vectors UNION ALL SELECT 'idf', count(DISTINCT term), count(*) FROM tf "
+        f"UNION ALL SELECT 'linear', {len(I.LANGS)} * count(*), {len(I.LANGS)} * sum(idx)::BIGINT FROM fitted",
+        *[x for x in _BIGRAM_TFIDF if not x.startswith("feats")], S.bigrams("tok", "windows"),
+        "lm AS (SELECT context, word, count(*) AS cnt FROM windows GROUP BY ALL)",
+    ),
 }

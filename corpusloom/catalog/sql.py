@@ -18,6 +18,11 @@ def r6(x: str) -> str:
     return f"(round({x}, 6) + 0.0)"
 
 
+def weighted_sum(vec: str) -> str:
+    """The sum of i times component i, from 1."""
+    return f"list_sum(list_transform({vec}, lambda x, i: x * i))"
+
+
 STOPS = "[" + ", ".join(map(quote, STOP_WORDS)) + "]"
 LEMMAS = "MAP {" + ", ".join(f"{quote(k)}: {quote(v)}" for k, v in default_lemmas().items()) + "}"
 LANG_VALUES = ", ".join(f"({quote(c)})" for c in LANGS)

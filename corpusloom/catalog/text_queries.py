@@ -76,11 +76,9 @@ def target_vocab(spark, sf):
 
 
 def random_vectors(spark, sf):
-    vocab = counts.vocab_union(I.benchmark_tokens(spark, sf))
-    found = vector_source.random_vectors(vocab, 16, 42)
-    return found.select("word", F.posexplode("vec").alias("dim", "value")).select(
-        "word", F.col("dim").cast("bigint").alias("dim"), I.r6(F.col("value"), "value")
-    )
+    vocab = materialize(counts.vocab_union(I.tokens(spark, sf)), "vocab")
+    found = vector_source.random_vectors(vocab)
+    return found.select("word", I.r6(F.get("vec", 0), "first"), I.r6(I.weighted_sum(F.col("vec")), "components"))
 
 
 def save_model(spark, sf):
@@ -230,7 +228,7 @@ def get_embedding(spark, sf):
     table = I.word_vectors(spark, sf, I.tokens(spark, sf))
     words = I.table(spark, sf, "documents").select(F.explode(F.split("text", " ")).alias("word")).distinct()
     found = vectors.get_embedding(words, table, fold_case=True)
-    return found.select("word", I.r6(F.get("vec", 0).cast("double"), "first"))
+    return found.select("word", I.r6(F.get("vec", 0).cast("double"), "first"), I.r6(I.weighted_sum(F.col("vec")), "components"))
 
 
 QUERIES = {
@@ -310,10 +308,11 @@ SQL = {
     f"{S.r6('unnest(embedding)::DOUBLE')} AS value FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels)",
     "target_vocab": S.query("tf", "SELECT DISTINCT term FROM tf"),
     "random_vectors": S.query(
-        "bench",
-        f"SELECT term AS word, (k - 1)::BIGINT AS dim, {S.r6('3 * x / sqrt(sum(x * x) OVER (PARTITION BY term))')} AS value FROM g",
-        "w AS (SELECT DISTINCT unnest(tokens) AS term FROM bench)",
-        "h AS (SELECT term, k, md5('42:' || term || ':' || k) AS d FROM w CROSS JOIN (SELECT unnest(generate_series(1, 16)) AS k))",
+        "tok",
+        f"SELECT term AS word, {S.r6('3 * max(x) FILTER (WHERE k = 1) / sqrt(sum(x * x))')} AS first, "
+        f"{S.r6('3 * sum(x * k) / sqrt(sum(x * x))')} AS components FROM g GROUP BY term",
+        "w AS (SELECT DISTINCT unnest(tokens) AS term FROM tok)",
+        "h AS (SELECT term, k, md5('42:' || term || ':' || k) AS d FROM w CROSS JOIN (SELECT unnest(generate_series(1, 100)) AS k))",
         "g AS (SELECT term, k, sqrt(-2 * ln((('0x' || substr(d, 1, 8))::BIGINT + 1) / 4294967297.0::DOUBLE)) "
         "* cos((('0x' || substr(d, 9, 8))::BIGINT + 1) / 4294967297.0::DOUBLE * 2 * pi()) AS x FROM h)",
     ),
@@ -374,7 +373,7 @@ SQL = {
     "cosine_similarity": f"SELECT a.vec_id, {S.r6('list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[])')} AS cosine "
     "FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1",
     "get_embedding": S.query(
-        "vectors", f"SELECT w.word, {S.r6('vec[1]')} AS first FROM (SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM documents) w "
+        "vectors", f"SELECT w.word, {S.r6('vec[1]')} AS first, {S.r6(S.weighted_sum('vec'))} AS components FROM (SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM documents) w "
         "LEFT JOIN vectors v ON v.word = lower(w.word)",
     ),
 }
