@@ -5,15 +5,19 @@ A vector table is any DataFrame with ``word`` and ``vec ARRAY<DOUBLE or FLOAT>``
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
 from corpusloom.functions import vector as V
 from corpusloom.operators.counts import term_counts
-from corpusloom.plans.lineage import lookup_side
+from corpusloom.plans.lineage import lookup_side, materialize
 
 
 def check_vectors(vectors: DataFrame) -> None:
@@ -58,6 +62,67 @@ def nearest_neighbors(vectors: DataFrame, word: str, top_k: int = 5) -> DataFram
     return similarities(vectors, word).orderBy(F.col("similarity").desc(), "word").limit(top_k)
 
 
+def nearest_of(words: DataFrame, vectors: DataFrame, top_k: int = 5, block_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+    """``(query, rank, word, similarity)``: the ``top_k`` words most similar to each of ``words(word)``, without itself.
+
+    Queries travel in blocks of at most ``block_bytes`` of vectors, each against the whole table; a task multiplies
+    its rows with a block and keeps the best of each query, so pairs are never rows. Similarities equal to
+    twelve decimals rank by the smaller word. Unknown words and zero vectors have no neighbours; a zero vector
+    in the table has similarity 0. A repeated query counts once.
+    """
+    check_vectors(vectors)
+    table = vectors.select("word", F.col("vec").cast("array<double>").alias("vec"))
+    asked = materialize(table.join(words.select("word").distinct(), "word", "left_semi"), "queries")
+    asked = asked.where(F.exists("vec", lambda x: x != 0))
+    size = asked.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("d")).first()
+    per_block = max(1, block_bytes // (8 * (size["d"] or 1)))
+    blocks = max(1, -(-size["n"] // per_block))
+    schema = "query string, word string, similarity double"
+
+    def best_in(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, queries = shared.value
+            best: list[list[tuple[float, str]]] = [[] for _ in names]
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                given = batch.column("word").to_pylist()
+                x = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(len(given), -1)
+                length = np.sqrt((x * x).sum(axis=1))
+                x = x / np.where(length > 0, length, 1.0)[:, None]
+                for i in range(0, len(names), 512):
+                    near = np.round(queries[i : i + 512] @ x.T, 12)
+                    # Everything at least as near as the k-th could stay; one more for the query itself.
+                    k = min(top_k + 1, len(given))
+                    limit = np.partition(near, len(given) - k, axis=1)[:, len(given) - k]
+                    for j in range(len(near)):
+                        found = np.flatnonzero(near[j] >= limit[j])
+                        own = best[i + j] + [(-float(near[j, f]), given[f]) for f in found.tolist() if given[f] != names[i + j]]
+                        best[i + j] = sorted(own)[:top_k]
+            rows = [(names[i], word, -s) for i, own in enumerate(best) for s, word in own]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["query", "word", "similarity"])
+
+        return run
+
+    found = None
+    for b in range(blocks):
+        own = asked.where(F.pmod(F.xxhash64("word"), F.lit(blocks)) == b).collect()  # about block_bytes
+        if not own:
+            continue
+        names, queries = [r["word"] for r in own], np.array([r["vec"] for r in own])
+        queries = queries / np.sqrt((queries * queries).sum(axis=1))[:, None]
+        shared = vectors.sparkSession.sparkContext.broadcast((names, queries))
+        part = materialize(table.mapInArrow(best_in(shared), schema), "nearest")
+        shared.destroy()
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = vectors.sparkSession.createDataFrame([], schema)
+    order = Window.partitionBy("query").orderBy(F.col("similarity").desc(), "word")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_k)
+    return ranked.select("query", "rank", "word", "similarity")
+
+
 def skipgram_pairs(docs: DataFrame, vocab: DataFrame, window: int = 2) -> DataFrame:
     """All ``(doc_id, center, context)`` pairs of known tokens at most ``window`` apart.
 

@@ -293,3 +293,23 @@ def test_kmeans_on_few_points(spark):
     mixed = same.unionByName(spark.createDataFrame([(9, [1.0])], same.schema))
     with pytest.raises(ValueError, match="several lengths"):
         cluster.kmeans_fit(mixed, k=2, n_init=1)
+
+
+def test_neighbours_of_many_words(spark):
+    rng = np.random.RandomState(9)
+    x = rng.randn(60, 5)
+    x[7], x[8], x[30] = 0, x[9], 2 * x[9]  # a zero vector, and vectors of one direction
+    table = spark.createDataFrame([(f"w{i:02d}", v.tolist()) for i, v in enumerate(x)], "word string, vec array<double>").repartition(4)
+    asked = spark.createDataFrame([(f"w{i:02d}",) for i in range(50)] + [("w03",), ("none",)], "word string")
+    got = {}
+    for r in vectors.nearest_of(asked, table, 4, block_bytes=8 * 5 * 11).orderBy("query", "rank").collect():
+        got.setdefault(r["query"], []).append((r["word"], round(r["similarity"], 9)))
+    unit = x / np.where(np.linalg.norm(x, axis=1) > 0, np.linalg.norm(x, axis=1), 1)[:, None]
+    for i in range(50):
+        near = sorted((-round(float(unit[i] @ unit[j]), 9) + 0.0, f"w{j:02d}") for j in range(60) if j != i)[:4]
+        want = [(w, -s) for s, w in near] if i != 7 else None
+        assert got.get(f"w{i:02d}") == want
+    assert len(got) == 49
+    single = vectors.nearest_neighbors(table, "w11", 4).collect()
+    assert [r["word"] for r in single] == [w for w, _ in got["w11"]]
+    assert vectors.nearest_of(asked.limit(0), table).count() == 0
