@@ -26,9 +26,9 @@ def test_urls_end_at_unicode_space(spark):
 
 
 def test_score_line_survives_in_number_mode(spark):
-    raw = "Brazil lost 7-1 against Germany"
+    raw = "Kelda won 7-1 away from home"
     assert "7-1" in one(spark, raw, lambda x: T.tokenize(x, True))
-    assert one(spark, raw, T.tokenize) == ["brazil", "lost", "against", "germany"]
+    assert one(spark, raw, T.tokenize) == ["kelda", "won", "away", "from", "home"]
     both = one(spark, "-a- b--c 3-0-1", lambda x: T.tokenize(x, True))
     assert both == ["a", "b", "c", "3-0-1"]
 

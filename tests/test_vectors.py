@@ -313,3 +313,18 @@ def test_neighbours_of_many_words(spark):
     single = vectors.nearest_neighbors(table, "w11", 4).collect()
     assert [r["word"] for r in single] == [w for w, _ in got["w11"]]
     assert vectors.nearest_of(asked.limit(0), table).count() == 0
+
+
+@pytest.mark.parametrize("shape", [(80, 12), (30, 3), (6, 40), (9, 1)])
+def test_principal_coordinates_equal_a_dense_decomposition(spark, shape):
+    rng = np.random.RandomState(sum(shape))
+    x = rng.randn(*shape) * np.linspace(3, 1, shape[1]) + 5
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vec array<double>").repartition(3)
+    coordinates, ratios, placed = cluster.pca_2d(points, [x.mean(axis=0).tolist(), x[0].tolist()])
+    got = np.array([[r["x"], r["y"]] for r in coordinates.orderBy("id").collect()])
+    u, s, v = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)
+    k = min(2, shape[1])
+    assert np.abs(got[:, :k]) == pytest.approx(np.abs(u[:, :k] * s[:k]), abs=1e-5)
+    assert ratios[:k] == pytest.approx((s**2 / (s**2).sum())[:k].tolist())
+    assert got.mean(axis=0) == pytest.approx(0, abs=1e-9) and abs(got[:, 0] @ got[:, 1]) < 1e-4
+    assert np.array(placed[0]) == pytest.approx(0, abs=1e-9) and placed[1] == pytest.approx(got[0].tolist())
