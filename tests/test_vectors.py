@@ -315,8 +315,9 @@ def test_neighbours_of_many_words(spark):
     assert vectors.nearest_of(asked.limit(0), table).count() == 0
 
 
-@pytest.mark.parametrize("shape", [(80, 12), (30, 3), (6, 40), (9, 1)])
-def test_principal_coordinates_equal_a_dense_decomposition(spark, shape):
+@pytest.mark.parametrize(("shape", "subspace"), [((80, 12), 256), ((30, 3), 256), ((6, 40), 256), ((9, 1), 256), ((60, 20), 9)])
+def test_principal_coordinates_equal_a_dense_decomposition(spark, monkeypatch, shape, subspace):
+    monkeypatch.setattr(cluster, "SUBSPACE", subspace)
     rng = np.random.RandomState(sum(shape))
     x = rng.randn(*shape) * np.linspace(3, 1, shape[1]) + 5
     points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vec array<double>").repartition(3)
