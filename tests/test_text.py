@@ -130,3 +130,18 @@ def test_drop_stop_rows(spark):
     rows = spark.createDataFrame([("the",), ("x",), ("cup",)], "token string")
     stops = spark.createDataFrame([("the",)], "token string")
     assert [r["token"] for r in P.drop_stop_rows(rows, stops).collect()] == ["cup"]
+
+
+def test_tokenize_equals_cleaning_first(spark):
+    texts = ["", " <", "<b>I cannot</b> gonna-cannot http://x.y/cannot www.a b", "WWW.X.org É<i", "a<b wannahttp", "Kelvin İs", "5 6"]
+    rows = spark.createDataFrame([(t,) for t in texts] + [(None,)], "x string")
+    x = F.col("x")
+    for fused in (True, False):
+        both = rows.select(T.tokenize(x, split_fused=fused).alias("a"), T.tokenize_clean(T.clean_text(x), split_fused=fused).alias("b"))
+        assert all(r["a"] == r["b"] for r in both.collect())
+
+
+def test_tokenize_builds_no_cleaned_text(spark):
+    plan = spark.createDataFrame([("x",)], "x string").select(T.tokenize(F.col("x")).alias("t"))
+    shown = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "[^a-z]+" in shown and "trim(" not in shown
