@@ -145,3 +145,12 @@ def test_tokenize_builds_no_cleaned_text(spark):
     plan = spark.createDataFrame([("x",)], "x string").select(T.tokenize(F.col("x")).alias("t"))
     shown = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "[^a-z]+" in shown and "trim(" not in shown
+
+
+def test_a_small_lemma_table_joins_no_tokens(spark):
+    docs = spark.createDataFrame([(1, "x", ["was", None, "b"]), (1, "x", ["ran"]), (2, "y", []), (None, "z", ["was"])], "doc_id int, c string, tokens array<string>")
+    table = spark.createDataFrame([("was", "v", "be"), ("ran", "v", "run"), ("b", "n", "b")], "token string, pos string, lemma string")
+    out = P.lemmatize_tokens(docs, table)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    found = {r["doc_id"]: r["tokens"] for r in out.collect()}
+    assert found == {1: ["be", "run", "b"], 2: [], None: ["be"]}
