@@ -106,14 +106,11 @@ def lm_probability(spark, sf):
     )
 
 
-def _scores(spark, sf, smoothing=True):
-    model = lm.train(I.tokens(spark, sf), 2)
-    return lm.sequence_scores(I.benchmark_tokens(spark, sf), model, smoothing)
-
-
 def lm_log_likelihood(spark, sf):
-    smooth = _scores(spark, sf).select("doc_id", I.r6(F.col("log_likelihood"), "laplace"))
-    plain = _scores(spark, sf, False).select("doc_id", (F.col("log_likelihood") < -1e300).alias("mle_impossible"))
+    model = lm.train(I.tokens(spark, sf), 2)
+    held = I.benchmark_tokens(spark, sf)
+    smooth = lm.sequence_scores(held, model).select("doc_id", I.r6(F.col("log_likelihood"), "laplace"))
+    plain = lm.sequence_scores(held, model, False).select("doc_id", (F.col("log_likelihood") < -1e300).alias("mle_impossible"))
     return smooth.join(plain, "doc_id")
 
 
@@ -127,7 +124,8 @@ def lm_sequence_probability(spark, sf):
 
 
 def lm_perplexity(spark, sf):
-    return _scores(spark, sf).select("doc_id", "n_predictions", F.round("perplexity", 3).alias("perplexity"))
+    scored = lm.sequence_scores(I.benchmark_tokens(spark, sf), lm.train(I.tokens(spark, sf), 2))
+    return scored.select("doc_id", "n_predictions", F.round("perplexity", 3).alias("perplexity"))
 
 
 def predict_next_words(spark, sf):

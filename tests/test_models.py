@@ -300,3 +300,37 @@ def test_counts_of_an_unknown_class(spark):
     table = spark.createDataFrame([("x", "a", 1), ("y", "b", 2)], "category string, term string, cnt bigint")
     with pytest.raises(ValueError, match="'y'"):
         nb.fit_counts(labels, table)
+
+
+def test_pairs_cut_a_language_model_down_before_the_join(spark, tokens):
+    from corpusloom.operators import language_model as lm
+
+    model = lm.train(tokens([(1, "a", "x y x"), (2, "a", "y x")]), 2)
+    pairs = spark.createDataFrame([("x", "y"), ("q", "x"), ("x", "y"), (None, "x")], "context string, word string")
+    out = lm.with_probability(pairs, model, smoothing=False)
+    assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["context"] or "", round(r["p"], 6)) for r in out.collect()) == [("", 0.0), ("q", 0.0), ("x", 0.333333), ("x", 0.333333)]
+
+
+def test_most_frequent_terms_are_picked_without_numbering_all(spark, tokens):
+    from corpusloom.operators import tfidf
+
+    docs = tokens([(1, "a", "b c a"), (2, "a", "c b"), (3, "a", "c d")])
+    for top in (2, 3):
+        small = {r["term"]: r["idx"] for r in tfidf.fit(docs, max_features=top).vocab.collect()}
+        assert small == {t: i for i, t in enumerate(sorted(["c", "b", "a"][:top]))}
+
+
+def test_frequent_words_read_the_tokens_once(spark, tokens, tmp_path):
+    from corpusloom.operators import counts
+
+    said = spark.sparkContext.accumulator(0)
+    docs = tokens([(1, "a", "b b c"), (2, "a", "b")])
+
+    def seen(batches):
+        for batch in batches:
+            said.add(batch.num_rows)
+            yield batch
+
+    found = counts.frequency_vocab(docs.mapInArrow(seen, docs.schema), 2).collect()
+    assert [(r["term"], r["cnt"]) for r in found] == [("b", 3)] and said.value == 2
