@@ -329,3 +329,46 @@ def test_principal_coordinates_equal_a_dense_decomposition(spark, monkeypatch, s
     assert ratios[:k] == pytest.approx((s**2 / (s**2).sum())[:k].tolist())
     assert got.mean(axis=0) == pytest.approx(0, abs=1e-9) and abs(got[:, 0] @ got[:, 1]) < 1e-4
     assert np.array(placed[0]) == pytest.approx(0, abs=1e-9) and placed[1] == pytest.approx(got[0].tolist())
+
+
+def test_rows_of_a_descent_are_stored_as_blocks(spark, blobs, monkeypatch):
+    x, y, classes = blobs
+    monkeypatch.setattr(linear, "BLOCK_ENTRIES", 40)
+    labels, dense = long_form(spark, x, y)
+    sparse = dense.where("idx < 2 or doc_id % 2 = 0")
+    packed = linear.pack(labels, [linear.Problem(dense, 5), linear.Problem(sparse, 5)], classes).coalesce(1)
+    blocks = linear.pack_blocks(packed, [5, 5]).collect()
+    assert sum(len(b["y"]) // 4 for b in blocks) == 2 * len(x)
+    assert all(b["dense"] and not b["row"] for b in blocks if b["model"] == 0)
+    w, b = np.arange(15.0).reshape(3, 5), np.zeros(3)
+    for model, keep in ((0, np.ones(x.shape, bool)), (1, (np.arange(5) < 2) | (np.arange(60) % 2 == 0)[:, None])):
+        rows = [linear.Rows.restored(r["dense"], r["y"], r["row"], r["idx"], r["value"], 5) for r in blocks if r["model"] == model]
+        p = 1 / (1 + np.exp(-np.clip((x * keep) @ w.T, -250, 250)))
+        target = np.array([[c == k for k in classes] for c in y])
+        want = (p - target).T @ (x * keep)
+        assert sum(r.gradient(w, b, range(3), False)[0] for r in rows) == pytest.approx(want)
+
+
+def test_skipgram_parts_grow_with_the_corpus(spark, tokens, monkeypatch):
+    parts = []
+    real = vectors.Word2Vec
+    monkeypatch.setattr(vectors, "Word2Vec", lambda **o: parts.append(o["numPartitions"]) or real(**o))
+    monkeypatch.setattr(vectors, "PART_TOKENS", 3)
+    vectors.skipgram_fit(tokens([(i, "a", "a b c d") for i in range(3)]), dim=2, min_count=1, epochs=1, partitions=2)
+    assert parts == [4]
+
+
+def test_pooling_by_blocks_equals_pooling_at_once(spark, tokens, monkeypatch):
+    docs = tokens([(1, "a", "a b b q"), (2, "a", ""), (3, "a", "q r"), (4, "a", "c d e f g a"), (4, "a", "b")])
+    given = [(w, [float(i), -1.0, 0.5 * i]) for i, w in enumerate("abcdefg")] + [("a", [2.0, 2.0, 2.0]), (None, [1.0, 1.0, 1.0]), ("r", None)]
+    table = spark.createDataFrame(given, "word string, vec array<double>")
+    idf = spark.createDataFrame([("a", 2.0), ("b", 0.5)], "term string, idf double")
+
+    def pooled():
+        both = vectors.pool_mean(docs, table, 3), vectors.pool_tfidf(docs, table, idf, 3)
+        assert "SortMergeJoin" not in "".join(x._jdf.queryExecution().toString() for x in both)
+        return [sorted((r["doc_id"], r["n_valid"], *(round(v, 9) for v in r["vec"])) for r in x.collect()) for x in both]
+
+    once = pooled()
+    monkeypatch.setattr(vectors, "POOL_BYTES", 200)
+    assert pooled() == once
