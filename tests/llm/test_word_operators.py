@@ -311,3 +311,13 @@ def test_scores_pass_64_bits(spark, monkeypatch):
     monkeypatch.setattr(collocations, "frequent_phrases", lambda docs, least: table)
     [row] = collocations.collocations(table).collect()
     assert row["score"] == 2000000 * big // (4 * big + 7)
+
+
+@pytest.mark.parametrize("size", [0, 10, 1 << 20, 3 << 20, 5 << 20, 1 << 40])
+@pytest.mark.parametrize("n", [0, 1, 7, 500])
+def test_rounds_of_training_take_every_batch(n, size):
+    rounds = causal_lm.ROUNDS
+    taken = [b for nth in range(rounds) for b in causal_lm.batches_of(n, nth, rounds, size)]
+    assert set(taken) == set(range(n))
+    if size > 4 << 20:
+        assert len(taken) == n
