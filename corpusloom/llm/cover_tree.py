@@ -3,8 +3,8 @@
 Vectors are scaled to unit length, where a cosine threshold is a distance. Equal vectors are one point
 with a weight. Points are dealt to the nearest of a bounded number of centres, large cells in several
 parts; the parts are the top of the trees. Pairs of parts too far apart for their covering radii are
-pruned. For each pair that is left, a task builds the cover trees of both parts, nested levels with halving radii,
-and traverses them together: node pairs too far apart for their covering radii are pruned, those that
+pruned. Each part's cover tree, nested levels with halving radii, is built once and stored. For each pair that is left,
+a task traverses both trees together: node pairs too far apart for their covering radii are pruned, those that
 are close throughout are taken as a whole, the rest are opened. Points that are left
 face to face near the threshold are compared by their exact cosine in double precision.
 
@@ -17,6 +17,7 @@ tables give empty results; further columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +31,10 @@ from corpusloom.plans.lineage import BoundExceeded, materialize
 
 #: Points of a part on average, and the most centres.
 PART, CENTRES = 6_000, 64
-#: Points below which a node isn't divided further, and node pairs measured at once.
-LEAF, ROWS = 24, 1024
-#: Distances this close to a bound are left to the exact comparison.
-SLACK = 1e-7
+#: Points below which a node isn't divided further, nodes of either side measured at once, centres measured at once.
+LEAF, ROWS, CENTRES_AT_ONCE = 24, 512, 64
+#: Distances this close to a bound are left to the exact comparison, and products in single precision this close to theirs.
+SLACK, ROUGH = 1e-7, 1e-4
 
 
 class CoverTree:
@@ -47,9 +48,25 @@ class CoverTree:
         self.children: list[np.ndarray] = []
         if len(x):
             self.grow(0, np.arange(len(x)), apart(x, x[:1])[:, 0])
+        self.over(x)
+
+    def over(self, x: np.ndarray) -> CoverTree:
+        """The tree with its points, which it is stored without."""
+        self.x = x
         self.at = x[self.centre]
+        self.rough = self.at.astype(np.float32)
         self.reach = np.array(self.radius)
         self.leaf = np.array([len(k) == 0 for k in self.children], bool)
+        return self
+
+    def __getstate__(self) -> tuple:
+        lists = [(np.cumsum([len(k) for k in x])[:-1], np.concatenate(x) if x else np.empty(0, np.int64)) for x in (self.members, self.children)]
+        return np.array(self.centre), np.array(self.radius), [(ends.astype(np.int32), x.astype(np.int32)) for ends, x in lists]
+
+    def __setstate__(self, state: tuple) -> None:
+        centre, radius, lists = state
+        self.centre, self.radius = centre.tolist(), radius.tolist()
+        self.members, self.children = (np.split(x, ends) if len(centre) else [] for ends, x in lists)
 
     def grow(self, centre: int, members: np.ndarray, far: np.ndarray) -> int:
         """Add the node of ``members`` around a centre; ``far`` are their distances from it."""
@@ -59,24 +76,53 @@ class CoverTree:
         self.members.append(members)
         self.children.append(np.empty(0, np.int64))
         if len(members) > LEAF and self.radius[node] > SLACK:
-            half, kids = self.radius[node] / 2, []
-            left, d = members, far
+            half, inside = self.radius[node] / 2, far <= self.radius[node] / 2
+            kids = [self.grow(centre, members[inside], far[inside])]
+            left = members[~inside]
             while len(left):
-                inside = d <= half
-                kids.append(self.grow(centre, left[inside], d[inside]))
-                left = left[~inside]
-                if len(left):
-                    centre = int(left[0])
-                    d = apart(self.x[left], self.x[centre : centre + 1])[:, 0]
-            self.children[node] = np.array(kids)
+                # The next centres' distances are measured together; those that an earlier one covers aren't centres.
+                d = apart(self.x[left[:CENTRES_AT_ONCE]], self.x[left])
+                close, taken = d <= half, np.zeros(len(left), bool)
+                for i, row in enumerate(close):
+                    if not taken[i]:
+                        row[i] = True
+                        inside = np.flatnonzero(row > taken)
+                        taken[inside] = True
+                        kids.append(self.grow(int(left[i]), left[inside], d[i, inside]))
+                left = left[~taken]
+            # Nodes of like radius stand together, so that one bound serves many.
+            self.children[node] = np.array(sorted(kids, key=lambda k: -self.radius[k]))
         return node
 
 
+def unit(v: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one."""
+    return v / np.sqrt((v**2).sum(1))[:, None]
+
+
 def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Distances between unit vectors."""
     return np.sqrt(np.maximum(2 - 2 * (a @ b.T), 0))
 
 
+def near_nodes(s: CoverTree, p: np.ndarray, t: CoverTree, b: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, distance) of nodes ``p[i]``, ``b[j]`` whose points may be within ``eps``, judged by centres and radii.
+
+    Products in single precision discard what the largest radii rule out; what is left is measured in double precision.
+    """
+    most = eps + SLACK + float(s.reach[p].max()) + float(t.reach[b].max())
+    maybe = s.rough[p] @ t.rough[b].T >= np.float32(1 - most * most / 2 - ROUGH) if most < 2 else np.ones((len(p), len(b)), bool)
+    i, j = np.divmod(np.flatnonzero(maybe), len(b))
+    if 32 * len(i) > maybe.size:
+        d = apart(s.at[p], t.at[b])[i, j]
+    else:
+        d = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", s.at[p[i]], t.at[b[j]]), 0))
+    if s is t:
+        d[p[i] == b[j]] = 0.0
+    near = d - (s.reach[p[i]] + t.reach[b[j]]) <= eps + SLACK
+    return i[near], j[near], d[near]
+
+
 def traverse(s: CoverTree, t: CoverTree, eps: float) -> Iterator[tuple[bool, int, int]]:
     """Node pairs of two trees, or of one with itself, that remain: (wholly within ``eps``, node of s, node of t).
 
@@ -86,36 +132,35 @@ def traverse(s: CoverTree, t: CoverTree, eps: float) -> Iterator[tuple[bool, int
     todo = [(np.zeros(1, np.int64), np.zeros(1, np.int64), same)] if len(s.x) and len(t.x) else []
     while todo:
         a, b, triangle = todo.pop()
-        for at in range(0, len(a), ROWS):
-            p = a[at : at + ROWS]
-            d = apart(s.at[p], t.at[b])
-            if same:
-                d[p[:, None] == b[None, :]] = 0.0
-            radii = s.reach[p][:, None] + t.reach[b][None, :]
-            near = d - radii <= eps + SLACK
+        tiles = [(x, y) for x in range(0, len(a), ROWS) for y in range(0, len(b), ROWS) if not triangle or x <= y]
+        for x, y in tiles:
+            p, q = a[x : x + ROWS], b[y : y + ROWS]
+            i, j, d = near_nodes(s, p, t, q, eps)
             if triangle:
-                near &= (np.arange(at, at + len(p))[:, None] <= np.arange(len(b))[None, :])
-            i, j = np.nonzero(near)
-            whole = d[i, j] + radii[i, j] <= eps - SLACK
-            for u, v, w in zip(p[i].tolist(), b[j].tolist(), whole.tolist()):
-                if w or (s.leaf[u] and t.leaf[v]):
-                    yield w, u, v
-                elif same and u == v:
-                    todo.append((s.children[u], s.children[u], True))
-                elif s.leaf[u] or (not t.leaf[v] and t.radius[v] > s.radius[u]):
-                    todo.append((np.array([u]), t.children[v], False))
-                else:
-                    todo.append((s.children[u], np.array([v]), False))
+                once = x + i <= y + j
+                i, j, d = i[once], j[once], d[once]
+            u, v = p[i], q[j]
+            whole = d + s.reach[u] + t.reach[v] <= eps - SLACK
+            ends = whole | (s.leaf[u] & t.leaf[v])
+            yield from zip(whole[ends].tolist(), u[ends].tolist(), v[ends].tolist())
+            u, v = u[~ends], v[~ends]
+            if same:
+                todo += [(s.children[k], s.children[k], True) for k in u[u == v].tolist()]
+                u, v = u[u != v], v[u != v]
+            # All that a node is opened for meets its children together.
+            theirs = s.leaf[u] | (~t.leaf[v] & (t.reach[v] > s.reach[u]))
+            todo += [(s.children[k], v[~theirs & (u == k)], False) for k in np.unique(u[~theirs]).tolist()]
+            todo += [(u[theirs & (v == k)], t.children[k], False) for k in np.unique(v[theirs]).tolist()]
 
 
 def link(ours: dict, theirs: dict | None, cosine: float) -> tuple[list, list]:
     """Links of points within one part, or between two: sums (point, n) and forest edges (a, b).
 
-    A part is a dict of ``ids``, ``weight`` and the given vectors ``v``.
+    A part is a dict of ``ids``, ``weight``, the given vectors ``v`` and their ``tree``.
     """
     sides = [ours] if theirs is None else [ours, theirs]
     norms = [np.sqrt((x["v"] ** 2).sum(1)) for x in sides]
-    trees = [CoverTree(x["v"] / n[:, None]) for x, n in zip(sides, norms)]
+    trees = [x["tree"] for x in sides]
     counts = [np.zeros(len(x["v"]), np.int64) for x in sides]
     first, last = 0, len(sides) - 1
     root: dict[int, int] = {}
@@ -226,12 +271,22 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, max_parts: int = 10
     points = materialize(points.withColumn("point", F.xxhash64("v", "least")), "points")
     parts, centres = parted(points)
     eps = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-    met = parts.join(part_pairs(parts, centres, eps, max_parts), ["size", "cell", "share"]).select("pair", "side", "point", "weight", "v")
+    place = {c: parts.schema[c].dataType for c in ("size", "cell", "share")}
+
+    def grown(part: pd.DataFrame) -> pd.DataFrame:
+        v = np.array(part["v"].tolist(), float)
+        side = {"ids": part["point"].to_numpy(), "weight": part["weight"].to_numpy(), "v": v, "tree": CoverTree(unit(v))}
+        return part[[*place]].head(1).assign(part=pickle.dumps(side))
+
+    # A part's tree is built once, whatever the number of its pairs.
+    kinds = ", ".join(f"{c} {k.simpleString()}" for c, k in place.items())
+    trees = materialize(parts.groupBy(*place).applyInPandas(grown, f"{kinds}, part binary"), "trees")
+    met = trees.join(part_pairs(parts, centres, eps, max_parts), [*place]).select("pair", "side", "part")
 
     def run(pair: pd.DataFrame) -> pd.DataFrame:
-        sides = []
-        for _, x in pair.groupby("side"):
-            sides.append({"ids": x["point"].to_numpy(), "weight": x["weight"].to_numpy(), "v": np.array(x["v"].tolist(), float)})
+        sides = [pickle.loads(x) for x in pair.sort_values("side")["part"]]
+        for x in sides:
+            x["tree"].over(unit(x["v"]))
         sums, edges = link(sides[0], sides[1] if len(sides) > 1 else None, cosine)
         out = pd.DataFrame([(i, None, n) for i, n in sums] + [(a, b, None) for a, b in edges], columns=["a", "b", "n"], dtype=object)
         return out.astype({"a": "Int64", "b": "Int64", "n": "Int64"})

@@ -178,3 +178,17 @@ def test_vector_links(vectors, monkeypatch, part):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (near[i].sum(), label[i], label[i] == i)
     assert all((got[i].n_links, got[i].kept) == (0, True) for i in (200, 201, 202, 203))
     assert cover_tree.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_cover_trees_measure_many_distances_at_once(monkeypatch):
+    calls, apart = [], cover_tree.apart
+    monkeypatch.setattr(cover_tree, "apart", lambda a, b: calls.append(1) or apart(a, b))
+    x = np.random.default_rng(3).normal(size=(800, 24))
+    x[400:420] = x[:20] + 0.01
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    trees = [cover_tree.CoverTree(x[:400]), cover_tree.CoverTree(x[400:])]
+    found = set()
+    for _, a, b in cover_tree.traverse(*trees, 0.4):
+        found |= {(i, j) for i in trees[0].members[a].tolist() for j in trees[1].members[b].tolist()}
+    assert {(i, j) for i, j in np.argwhere(apart(x[:400], x[400:]) <= 0.4).tolist()} <= found
+    assert len(calls) < 100
