@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -245,6 +246,25 @@ def test_silhouette_equals_brute_force(spark, per_block):
     assert got == pytest.approx(brute_silhouette(x, labels))
 
 
+def test_silhouette_sums_measure_each_distance_once_and_copies_are_at_zero(monkeypatch):
+    rng = np.random.RandomState(4)
+    x = rng.randn(90, 5) + 100
+    x[30:50] = x[29]
+    blocks = [pd.DataFrame({"id": range(i, i + 45), "cluster": [j % 3 for j in range(i, i + 45)], "vec": list(x[i : i + 45])}) for i in (0, 45)]
+    measured, distances = [], cluster._distances
+    monkeypatch.setattr(cluster, "_distances", lambda a, b: measured.append(len(a) * len(b)) or distances(a, b))
+    monkeypatch.setattr(cluster, "TILE", (7, 11))
+    ours, theirs = map(cluster._by_cluster, blocks)
+    got = pd.concat([cluster._distance_sums(ours, theirs), cluster._distance_sums(ours, None), cluster._distance_sums(theirs, None)])
+    assert sum(measured) == 3 * 45 * 45
+    got = got.groupby(["id", "cluster"])["total"].sum()
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    for i in range(90):
+        for c in range(3):
+            assert got[i, c] == pytest.approx(far[i, c::3].sum(), rel=1e-9)
+    assert (cluster._distances(x[30:40], x[40:50]) == 0).all()
+
+
 def test_kmeans_and_pca(spark):
     rng = np.random.RandomState(2)
     x = np.vstack([rng.randn(30, 4) * 0.1, rng.randn(30, 4) * 0.1 + [10, 0, 0, 0]])
