@@ -334,3 +334,12 @@ def test_frequent_words_read_the_tokens_once(spark, tokens, tmp_path):
 
     found = counts.frequency_vocab(docs.mapInArrow(seen, docs.schema), 2).collect()
     assert [(r["term"], r["cnt"]) for r in found] == [("b", 3)] and said.value == 2
+
+
+def test_several_orders_shuffle_the_longest_windows_only(spark, tokens):
+    docs = tokens([(1, "x", "a b a b c"), (2, "y", "b"), (3, "y", ""), (4, "x", "a b a b c")])
+    several = lm.count_orders(docs, [2, 4, 3])
+    alone = [tuple(r) for n in (2, 3, 4) for r in lm.count_orders(docs, [n]).collect()]
+    assert sorted(map(tuple, several.collect())) == sorted(alone) and several.columns == ["n", "context", "word", "cnt"]
+    plan = several._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.index("Aggregate") < plan.index("Exchange ") and "partial_count" not in plan[plan.index("Exchange ") :]
