@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -85,6 +86,18 @@ def test_pairs_skip_unknown_tokens(spark, tokens):
     assert got.count() == 10 and got.where("center = 'a' and context = 'b'").count() == 1
 
 
+def test_pairs_are_made_of_rows_and_join_repeated_ids(spark, tokens):
+    vocab = spark.createDataFrame([(w,) for w in "abcd"], "term string")
+    got = vectors.skipgram_pairs(tokens([(1, "x", "a b a zz c"), (1, "x", "d b"), (None, "x", "a c"), (3, "x", "zz")]), vocab, 3)
+    want = Counter()
+    for i, words in ((1, "adbbac"), (None, "ac")):  # words at the same place of a repeated id come in their order
+        want.update((i, words[x], words[y]) for x in range(len(words)) for y in range(len(words)) if x != y and abs(x - y) <= 3)
+    assert Counter(map(tuple, got.collect())) == want
+    assert "collect_list" not in got._jdf.queryExecution().toString()
+    with pytest.raises(ValueError):
+        vectors.skipgram_pairs(tokens([(1, "x", "a b")]), vocab, 0)
+
+
 def test_skipgram_fit(spark, tokens):
     docs = tokens([(i, "x", "football team won match " * 3) for i in range(20)])
     got = vectors.skipgram_fit(docs, dim=8, min_count=2, epochs=1)
