@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.catalog import inputs, vector_queries
 from corpusloom.functions import vector as V
 from corpusloom.operators import cluster, counts, evaluate, linear, vectors
 
@@ -405,3 +406,20 @@ def test_pooling_by_blocks_equals_pooling_at_once(spark, tokens, monkeypatch):
     once = pooled()
     monkeypatch.setattr(vectors, "POOL_BYTES", 200)
     assert pooled() == once
+
+
+def test_a_vector_subset_looks_up_no_other_vectors(spark, tmp_path, monkeypatch):
+    docs = [(1, "en", "Harbor lantern, zebra!"), (2, "de", "lantern violin"), (3, "en", None)]
+    spark.createDataFrame(docs, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    held = [(7, "violin harbor"), (8, "nowhere"), (9, "violin")]
+    spark.createDataFrame(held, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    given = [(i, [float(i), 10.0 + i]) for i in range(3)]
+    spark.createDataFrame(given, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    stored = []
+    for module in (inputs, vector_queries):
+        plain = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, name="table", plain=plain: stored.append(name) or plain(df, name))
+    found = vector_queries.vector_subset(spark, str(tmp_path))
+    # harbor, lantern, violin, zebra take the vectors 0, 1, 2, 0.
+    assert {tuple(r) for r in found.collect()} == {("harbor", 0, 0.0), ("harbor", 1, 10.0), ("violin", 0, 2.0), ("violin", 1, 12.0)}
+    assert "vectors" not in stored
