@@ -321,3 +321,20 @@ def test_rounds_of_training_take_every_batch(n, size):
     assert set(taken) == set(range(n))
     if size > 4 << 20:
         assert len(taken) == n
+
+
+def test_a_training_step_makes_two_softmaxes_however_many_groups(monkeypatch):
+    rng = np.random.default_rng(5)
+    symbols = causal_lm.symbols_of(rng.integers(1, 50, 400), groups=16, members=8, tails=3)
+    model = causal_lm.Attention(symbols, width=6, context=3, scored=4)
+    seen, target = rng.integers(0, 131, (40, 7)), rng.integers(0, 131, (40, 4))
+    plain, rows = causal_lm.log_softmax, []
+    monkeypatch.setattr(causal_lm, "log_softmax", lambda logits: rows.append(len(logits)) or plain(logits))
+    loss, g = model.gradient(seen, target, np.ones((40, 4), bool))
+    assert rows == [160, int((target < 128).sum())]
+    logs = model.log_probability(model.hidden(seen)[0].reshape(-1, 6), target.ravel())
+    assert np.isclose(loss, -logs.mean(), rtol=1e-4)
+    # Within a group the gradient of the biases adds up to nothing; a group without targets has none.
+    assert np.abs(g["member_bias"].sum(axis=1)).max() < 1e-5
+    none = np.setdiff1d(np.arange(16), target[target < 128] // 8)
+    assert not g["member"][none].any()
