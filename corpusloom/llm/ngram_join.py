@@ -28,7 +28,6 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +44,8 @@ FEW = 4
 PIVOT_ROWS = 1000
 #: Rows of a column that meet in one piece of work, entries of a block of work, pairs that a task adds up at once.
 ROW_BLOCK, CELL_ENTRIES, PAIR_FLUSH = 800, 200_000, 1_000_000
+#: Rows of a block that are Python objects at the same time.
+ROWS_AT_ONCE = 20_000
 
 
 def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
@@ -131,8 +132,10 @@ def meeting_rows(docs: DataFrame, sketch: np.ndarray, blocks: int) -> DataFrame:
         once = np.r_[True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])]
         keys, owners, sizes = keys[once], owners[once], sizes[once]
         n = runs_of(keys)[1]
-        several = np.repeat(n > 1, n)
-        yield from zip(keys[several].view(np.int64).tolist(), owners[several].tolist(), sizes[several].tolist())
+        several = np.flatnonzero(np.repeat(n > 1, n))
+        for i in range(0, len(several), ROWS_AT_ONCE):
+            at = several[i : i + ROWS_AT_ONCE]
+            yield from zip(keys[at].view(np.int64).tolist(), owners[at].tolist(), sizes[at].tolist())
 
     chunks = map_rows(docs.select("text"), run, "block int, data binary", batch=8)
     found = materialize(each_block(chunks, blocks, meet, "gram long, set_id long, size long"), "columns")
@@ -363,10 +366,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     if not repeated.isEmpty():
         same = same.unionByName(rows.join(repeated, F.col("of") == F.col("id"), "left_semi"))
 
-    @F.pandas_udf("long")
-    def set_of(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: set_id(shingle_set(text)))
-
+    # Spark would move the filters on a repeatable function below the column and call it there once more: two Python
+    # workers a core in one stage, which then stay.
+    set_of = F.udf(lambda text: set_id(shingle_set(text)), "long").asNondeterministic()
     same = same.withColumns({"text": F.col("row.text"), "own": set_of("row.text")})
     chosen = same.where("own != 0").join(best, F.col("of").eqNullSafe(F.col("id")) & (F.col("own") == F.col("set")), "left_semi")
     chosen = chosen.groupBy("of", "own").agg(F.min_by("row", "text").alias("row"))

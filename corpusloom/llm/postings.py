@@ -112,6 +112,7 @@ def each_block(chunks: DataFrame, blocks: int, fn, schema: str, batch: int = 20_
 
 def gathered(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keys, owners, marks = (np.concatenate(x) for x in zip(*parts))
+    parts.clear()  # each entry is held once while they are sorted
     order = np.lexsort((owners, marks, keys))
     return keys[order], owners[order], marks[order]
 
