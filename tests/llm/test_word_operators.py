@@ -323,6 +323,25 @@ def test_rounds_of_training_take_every_batch(n, size):
         assert len(taken) == n
 
 
+@pytest.mark.parametrize("size", [0, 3 << 20, 5 << 20, 1 << 40])
+def test_every_batch_is_learned_from_in_as_many_passes_whatever_the_size(size):
+    rounds = causal_lm.ROUNDS
+    taken = Counter(b for nth in range(causal_lm.turns_of(rounds, size)) for b in causal_lm.batches_of(7, nth, rounds, size))
+    assert set(taken) == set(range(7)) and min(taken.values()) >= rounds
+    if size > 2 << 20:
+        assert set(taken.values()) == {rounds}
+
+
+def test_training_makes_all_its_passes_over_a_large_input(spark, monkeypatch):
+    docs = frame(spark, [(i, f"stone river light {i} " * 1000, "en") for i in range(12)])
+    blocks = causal_lm.text_blocks(docs, F.lit(True), 1, "byte_bpe_50k")
+    symbols = causal_lm.symbols_of(causal_lm.id_counts(blocks, 50_257))
+    loaded, plain = [], causal_lm.Attention.load
+    monkeypatch.setattr(causal_lm.Attention, "load", lambda self, row: loaded.append(1) or plain(self, row))
+    causal_lm.train(blocks, symbols, 1 << 40)
+    assert len(loaded) == 2 * causal_lm.ROUNDS  # a round of a half each
+
+
 def test_a_training_step_makes_two_softmaxes_however_many_groups(monkeypatch):
     rng = np.random.default_rng(5)
     symbols = causal_lm.symbols_of(rng.integers(1, 50, 400), groups=16, members=8, tails=3)
