@@ -1,5 +1,7 @@
 import math
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -343,3 +345,25 @@ def test_several_orders_shuffle_the_longest_windows_only(spark, tokens):
     alone = [tuple(r) for n in (2, 3, 4) for r in lm.count_orders(docs, [n]).collect()]
     assert sorted(map(tuple, several.collect())) == sorted(alone) and several.columns == ["n", "context", "word", "cnt"]
     assert plan.count("Exchange ") == 1 and plan.index("Aggregate") < plan.index("Exchange ") and "partial_count" not in plan[plan.index("Exchange ") :]
+
+
+def test_windows_of_several_orders_are_shuffled_as_compressed_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 3)
+    texts = [["a", "b", "a b", "c"], ["x", "a", "b", "c"], ["x a", "b", "c"], ["<s>", "</s>"], ["é", "", "z"], [], None, ["a", "b", "a b", "c"]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id bigint, tokens array<string>")
+    several = lm.count_orders(docs, [2, 3, 5])
+    alone = [tuple(r) for n in (2, 3, 5) for r in lm.count_orders(docs, [n]).collect()]
+    assert sorted(map(tuple, several.collect())) == sorted(alone)
+    plan = several._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(cell" in plan and "back0" not in plan
+    # Null words count as words; contexts leave them out.
+    holes = spark.createDataFrame([(1, ["a", None, "b"])], "doc_id bigint, tokens array<string>")
+    assert ("a", "b") in {(r["context"], r["word"]) for r in lm.count_orders(holes, [2, 3]).where("n = 3").collect()}
+
+
+def test_a_block_of_windows_holds_each_word_once():
+    words = [f"word{i}" for i in np.random.default_rng(3).integers(0, 200, 20_000)]
+    blocks = [b for b in lm._window_blocks([pa.array([words])], 2, 5, 4)]
+    parts = [lm._unpacked(b.column("block")[0].as_py()) for b in blocks]
+    assert sum(x.shape[1] for _, x in parts) == 20_001 and all(len(w) == len(set(w.to_pylist())) for w, _ in parts)
+    assert sum(len(b.column("block")[0].as_py()) for b in blocks) < 10 * len(words)
