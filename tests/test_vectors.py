@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -383,6 +384,29 @@ def test_rows_of_a_descent_are_stored_as_blocks(spark, blobs, monkeypatch):
         assert sum(r.gradient(w, b, range(3), False)[0] for r in rows) == pytest.approx(want)
 
 
+@pytest.mark.parametrize("share", [0.0, 0.2, 2.0])
+def test_descent_tasks_sum_runs_and_whole_columns(monkeypatch, share):
+    monkeypatch.setattr(linear, "COMMON", share)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(30, 9)) * (rng.random((30, 9)) < np.linspace(0.02, 0.9, 9))
+    x[[0, 7, 29]], x[:, 4] = 0, 0  # documents and a feature without values
+    idx = [np.flatnonzero(r).tolist() for r in x]
+    idx[3], values = idx[3] + idx[3][:1], [r[r != 0].tolist() for r in x]
+    values[3] = values[3] + [0.5] * len(idx[3][-1:])  # a feature twice in a document
+    if idx[3]:
+        x[3, idx[3][-1]] += 0.5
+    y = rng.integers(0, 3, 30).astype(np.int32)
+    batch = pa.RecordBatch.from_arrays([pa.array(y), pa.array(idx, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float64()))], names=["y", "idx", "value"])
+    w, b = rng.normal(size=(3, 9)), rng.normal(size=3)
+    plain = linear.Rows([batch], 9).gradient(w, b, range(3), True)
+    rows = linear.Rows([batch], 9).with_columns()
+    p = 1 / (1 + np.exp(-(x @ w.T + b)))
+    target = y[:, None] == np.arange(3)
+    for got, old, want in zip(rows.gradient(w, b, range(3), True), plain, ((p - target).T @ x, (p - target).sum(axis=0), -np.log(np.where(target, p, 1 - p)).sum(axis=0))):
+        assert got == pytest.approx(want) and got == pytest.approx(old)
+    assert not hasattr(rows, "row")
+
+
 def test_skipgram_parts_grow_with_the_corpus(spark, tokens, monkeypatch):
     parts = []
     real = vectors.Word2Vec
